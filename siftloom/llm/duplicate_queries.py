@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import table
+from .history import known_rows
 from .near_duplicates import near_duplicates, pairs_of
 from .text_queries import titles
 
@@ -20,5 +22,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.when(F.col("part") == 0, TABLES[0]).otherwise(TABLES[1]).alias("tbl"), "id_lo", "id_hi")
 
 
-QUERIES = {"p3_found": p3_found}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    new = table(spark, d, "review").select(F.col("review_id").alias("id"), "title", F.col("batch_no").alias("batch"), F.col("arrived_at").alias("at"))
+    old = table(spark, d, "questions").select("id", "title", F.col("added_at").alias("since"))
+    return known_rows(new, old).select(F.col("id").alias("review_id"))
+
+
+QUERIES = {"p3_found": p3_found, "p5_found": p5_found}
 SQL: dict[str, str] = {}
