@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
+from .leakage import leaks
 from .spans import shared_part, shared_spans, sharing_pairs
 
 
@@ -21,5 +22,20 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_part(docs, *shared_spans(docs)).withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p9_found": p9_found, "p9_shared": p9_shared}
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "benchitems").select(F.col("item_id").alias("item"), "text")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(_docs(spark, d), _items(spark, d)).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """For each item: the documents it leaked into, and its longest runs there."""
+    found = leaks(_docs(spark, d), _items(spark, d))
+    n = found.groupBy("item").agg(F.count(F.lit(1)).alias("n_docs"), F.max("exact").alias("longest"), F.max("wide").alias("longest_wide"))
+    return _items(spark, d).select("item").distinct().join(n, "item", "left").fillna(0).withColumnRenamed("item", "item_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
 SQL: dict[str, str] = {}
