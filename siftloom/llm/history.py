@@ -131,7 +131,8 @@ def search(asked: DataFrame, asked_run: DataFrame, held: DataFrame, held_run: Da
     met = _meet(asked_run, held_run.join(hot, ["tree", "head"], "left_anti"), anyway, earlier)
     wide = [verified(met.join(settled(first), "rep", "left_anti"), asked, held)]
     if not hot.isEmpty():
-        star = hot.select("tree", "head", F.explode(F.array("one", "two")).alias("e")).where("e IS NOT NULL").select("tree", "head", "e.*")
+        alike = [F.struct(*(F.col(f"{c}.{x}").alias(x) for x in ("batch", "since", "rep", "tail", "wide"))) for c in ("one", "two")]
+        star = hot.select("tree", "head", F.explode(F.array(*alike)).alias("e")).where("e.rep IS NOT NULL").select("tree", "head", "e.*")
         within = asked_run.join(hot, ["tree", "head"], "left_semi").join(settled(first), "rep", "left_anti")
         second = durable(verified(_meet(within, star, anyway, earlier), asked, held), "second")
         left = within.join(settled(second), "rep", "left_anti")
