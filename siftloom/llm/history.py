@@ -128,7 +128,8 @@ def search(asked: DataFrame, asked_run: DataFrame, held: DataFrame, held_run: Da
     )
     hot = durable(sizes.where(F.col("n") > HOT), "hot")
     anyway = F.lit(True)
-    met = _meet(asked_run, held_run.join(hot, ["tree", "head"], "left_anti"), anyway, earlier)
+    # Kept before the settled leave it: else their anti-join would go below the search and move the whole run.
+    met = durable(_meet(asked_run, held_run.join(hot, ["tree", "head"], "left_anti"), anyway, earlier).distinct(), "met")
     wide = [verified(met.join(settled(first), "rep", "left_anti"), asked, held)]
     if not hot.isEmpty():
         alike = [F.struct(*(F.col(f"{c}.{x}").alias(x) for x in ("batch", "since", "rep", "tail", "wide"))) for c in ("one", "two")]
