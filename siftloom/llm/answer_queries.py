@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
+from .pairs import broken_pairs
 from .truncation import truncated
 
 
@@ -32,5 +33,9 @@ def p4_rates(spark: SparkSession, d: str) -> DataFrame:
     return counted.withColumn("rate", F.col("n_cut") / F.col("n"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return broken_pairs(table(spark, d, "questions"))
+
+
+QUERIES = {"p6_found": p6_found, "p4_found": p4_found, "p4_rates": p4_rates}
 SQL: dict[str, str] = {}

@@ -11,7 +11,7 @@ Writers differ: where the texts of a group that surely end (their last trigram i
 a full stop, an end in doubt is taken for an end; elsewhere a missing full stop is a cut, unless the last trigram is that of a whole
 text (a title) that ends so too. List items end without a full stop everywhere.
 
-Defined cases: null texts, blank texts and texts of fewer than three letters or digits are no cases; a text that occurs under several
+Defined cases: null texts, blank texts, placeholders and texts of fewer than three letters or digits are no cases; a text that occurs under several
 records is judged for each; repeated rows count once; an empty table gives no rows; texts of any length are counted whole.
 """
 
@@ -40,6 +40,13 @@ _STOP = r"[。！？!?.][”’\"'」』）)\]】]*$"
 _ITEM = r"^\s*([-*•·]|[0-9]+[.、)）])\s"
 _BARE_ITEM = r"^\s*([-*•·]|[0-9]+[.、)）]?)\s*$"
 
+# What stands where an answer should be, as letters and digits in lower case.
+PLACEHOLDERS = (
+    "na", "nan", "null", "none", "nil", "todo", "tbd", "undefined", "empty", "noanswer", "pending", "placeholder", "xxx",
+    "无", "空", "略", "暂无", "暂缺", "待补", "待补充", "待填", "待填写", "待定", "待完善", "待更新", "待续", "没有", "未填", "未填写", "无内容", "无答案", "没有答案",
+    "暂无答案", "暂无内容", "暂无解答", "答案略", "答案待补充", "同上", "见上", "如题",
+)
+
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(F.lower(text), _NUMBER, "0"), F.lit(_TOKEN), 0)
@@ -60,6 +67,7 @@ def _first_look(text: Column, body: Column) -> Column:
     is_open = (n("`", last) % 2 == 1) | (n("（", last) > n("）", last)) | (n(r"\(", last) > n(r"\)", last)) | (n("【", last) > n("】", last)) | (n("《", last) > n("》", last))
     return (
         F.when(n(r"[\p{L}\p{N}]", text) < 3, "none")
+        .when(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "").isin(*PLACEHOLDERS), "none")
         .when(n("```", body) % 2 == 1, "cut")
         .when(body.endswith("```"), "whole")
         .when(last.rlike(_BARE_ITEM), "cut")
