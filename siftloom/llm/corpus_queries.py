@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
 from .leakage import leaks
+from .mixing import mix
 from .spans import shared_part, shared_spans, sharing_pairs
 
 
@@ -37,5 +38,26 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _items(spark, d).select("item").distinct().join(n, "item", "left").fillna(0).withColumnRenamed("item", "item_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
+def _mix(spark: SparkSession, d: str, **how: object) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("doc"), "text", "source")
+    return mix(docs, table(spark, d, "mixtargets"), **how)
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen documents, each with its repeats and its source's target and actual share: the largest mix of the target shares."""
+    chosen, report = _mix(spark, d, strict=True)
+    shares = report.select("source", "target_share", "actual_share")
+    return chosen.join(shares, "source").withColumnRenamed("doc", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, strict=True)[1]
+
+
+def p8_filled_shares(spark: SparkSession, d: str) -> DataFrame:
+    """As many tokens as all sources with a target have; sources that are too small fall short of their shares."""
+    return _mix(spark, d)[1]
+
+
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_filled_shares": p8_filled_shares, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
 SQL: dict[str, str] = {}
