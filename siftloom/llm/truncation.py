@@ -31,6 +31,9 @@ HABIT = 0.02
 _TOKEN = r"[a-z][a-z_0-9]*|0|\n|[^\s]"
 _NUMBER = "0x[0-9a-f]+|[0-9]+"
 _END = "('。', '！', '？', '!', '?', '.', '…', '\n')"
+_SPACES = " \t\r\n\u3000\u00a0\u200b\u200c\u200d\u2060\ufeff\u2002\u2003\u2007\u2009\u202f"
+#: Characters at a text's end that patterns look at first.
+TAIL = 160
 # What is put after a break. Whitespace is matched from its first character on only, so a long run costs one pass.
 _AFTER = (
     r"(?:(?<!\s)\s++|（(?:展开|余下|下略|未完|以下|全文|更多|阅读|查看|略)[^（）]{0,14}）|\((?:more|truncated|continued|to be|read)[^()]{0,24}\)"
@@ -60,49 +63,65 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
     return rows.where("d IS NOT NULL AND c <> '\n'").groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.expr(f"count_if(d IN {_END})").alias("ends"))
 
 
-def _first_look(text: Column, body: Column) -> Column:
-    """cut, whole, none or doubt from the form of the end alone."""
-    last = F.substring_index(body, "\n", -1)
-    n = lambda c, x: F.regexp_count(x, F.lit(c))
-    is_open = (n("`", last) % 2 == 1) | (n("（", last) > n("）", last)) | (n(r"\(", last) > n(r"\)", last)) | (n("【", last) > n("】", last)) | (n("《", last) > n("》", last))
+def _body(text: Column) -> Column:
+    """The text without what was put after its break. The pattern sees the last characters, and all of a text only if these fall away altogether."""
+    whole = F.rtrim(text, F.lit(_SPACES))
+    tail = F.regexp_replace(F.right(whole, F.lit(TAIL)), _AFTER, "")
+    return F.when(F.length(whole) <= TAIL, tail).when(tail != "", F.concat(F.left(whole, F.length(whole) - TAIL), tail)).otherwise(F.regexp_replace(whole, _AFTER, ""))
+
+
+def _last_tokens(body: Column) -> Column:
+    """The last three tokens; all of a text is taken apart only if its last characters hold no more than three."""
+    near = tokens(F.right(body, F.lit(TAIL)))
+    t = F.when((F.size(near) > 3) | (F.length(body) <= TAIL), near).otherwise(tokens(body))
+    return F.slice(t, F.greatest(F.size(t) - 2, F.lit(1)), F.lit(3))
+
+
+def _first_look() -> Column:
+    """cut, whole, none or doubt of (text, body, last) from the form of the end alone."""
+    text, body, last = F.col("text"), F.col("body"), F.col("last")
+    n = lambda c: F.length(last) - F.length(F.replace(last, F.lit(c), F.lit("")))
+    is_open = (n("`") % 2 == 1) | (n("（") > n("）")) | (n("(") > n(")")) | (n("【") > n("】")) | (n("《") > n("》"))
+    fences = (F.length(body) - F.length(F.replace(body, F.lit("```"), F.lit("")))) / 3
+    bare = F.regexp_replace(F.lower(F.trim(text)), r"[^\p{L}\p{N}]", "")
     return (
-        F.when(n(r"[\p{L}\p{N}]", text) < 3, "none")
-        .when(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "").isin(*PLACEHOLDERS), "none")
-        .when(n("```", body) % 2 == 1, "cut")
+        F.when(~text.rlike(r"[\p{L}\p{N}](?:[^\p{L}\p{N}]*+[\p{L}\p{N}]){2}"), "none")
+        .when((F.length(F.trim(text)) <= 40) & bare.isin(*PLACEHOLDERS), "none")
+        .when(fences % 2 == 1, "cut")
         .when(body.endswith("```"), "whole")
         .when(last.rlike(_BARE_ITEM), "cut")
         .when(is_open, "cut")
-        .when(body.rlike(_STOP), "whole")
-        .when(body.rlike("[：:，,、；;（(]$"), "cut")
+        .when(F.right(body, F.lit(8)).rlike(_STOP), F.lit("stop"))
+        .when(F.right(body, F.lit(1)).isin(*"：:，,、；;（("), "cut")
         .otherwise("doubt")
     )
 
 
 def truncated(rows: DataFrame, more: DataFrame) -> DataFrame:
-    """From rows (key..., grp, text) and further whole texts (text) to count: rows with ``cut`` BOOLEAN, distinct."""
-    rows = rows.where("text IS NOT NULL").distinct()
-    body = F.regexp_replace("text", _AFTER, "")
-    looked = rows.withColumn("body", body).withColumn("look", _first_look(F.col("text"), F.col("body")))
-    t = tokens(F.concat_ws("", F.lit("\n\n"), F.col("body")))
+    """From rows (key..., grp, text) and further whole texts (text) to count: (key..., grp, cut BOOLEAN), one row per text."""
+    keys = [c for c in rows.columns if c != "text"]
+    rows = durable(rows.where("text IS NOT NULL").distinct(), "texts")
+    ends = rows.withColumn("body", _body(F.col("text"))).withColumn("last", F.substring_index("body", "\n", -1)).withColumn("look", _first_look())
+    looked = ends.select(
+        *keys, "look", F.when(F.col("look") == "doubt", _last_tokens(F.col("body"))).alias("t"),
+        F.col("last").rlike(_ITEM).alias("item"), (F.col("body") != F.rtrim("text", F.lit(_SPACES))).alias("after"),
+    )
+    looked = durable(looked, "looked")
     last = lambda k: F.try_element_at("t", F.lit(-k))
-    doubt = looked.where("look = 'doubt'").withColumn("t", t).select("*", last(3).alias("a"), last(2).alias("b"), last(1).alias("c")).drop("t")
-    doubt = durable(doubt, "doubt")
+    doubt = looked.where("look = 'doubt'").select(*keys, "item", "after", last(3).alias("a"), last(2).alias("b"), last(1).alias("c"))
     counts = durable(trigram_counts(rows.select("text").unionByName(more.where("text IS NOT NULL").select(F.concat("text", F.lit("\n")).alias("text")))), "trigrams")
     two = counts.groupBy("b", "c").agg(F.sum("n").alias("n2"), F.sum("ends").alias("ends2"))
     one = counts.groupBy("c").agg(F.sum("n").alias("n1"), F.sum("ends").alias("ends1"))
     three = counts.withColumnsRenamed({"n": "n3", "ends": "ends3"})
     # A text that something was put after has counted its own last trigram as an end.
-    own = F.when(F.col("body") == F.col("text"), 0).otherwise(1)
-    ends = lambda k: F.when(F.col(f"n{k}") - own >= SUPPORT, (F.col(f"ends{k}") - own) / (F.col(f"n{k}") - own))
-    part = doubt.join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, "c", "left").withColumn("part", F.coalesce(ends(3), ends(2), ends(1)))
-    last_line = F.substring_index("body", "\n", -1)
-    item, after = last_line.rlike(_ITEM), F.col("body") != F.col("text")
-    closed = tokens(F.col("text"))
+    own = F.when(F.col("after"), 1).otherwise(0)
+    part_of = lambda k: F.when(F.col(f"n{k}") - own >= SUPPORT, (F.col(f"ends{k}") - own) / (F.col(f"n{k}") - own))
+    closed = _last_tokens(F.col("text"))
     closings = more.where("text IS NOT NULL").select(*(F.try_element_at(closed, F.lit(-k)).alias(x) for k, x in ((3, "a"), (2, "b"), (1, "c")))).distinct().withColumn("closing", F.lit(True))
-    part = part.join(closings, ["a", "b", "c"], "left")
-    part = durable(part.select(*doubt.columns, "part", F.coalesce("closing", F.lit(False)).alias("closing")).withColumns({"item": item, "after": after}), "ends")
+    part = doubt.join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, "c", "left").join(closings, ["a", "b", "c"], "left")
+    part = durable(part.select(*doubt.columns, F.coalesce(part_of(3), part_of(2), part_of(1)).alias("part"), F.coalesce("closing", F.lit(False)).alias("closing")), "ends")
     bare = part.where((F.col("part") >= SURE) & ~F.col("item") & ~F.col("after")).groupBy("grp").agg(F.count(F.lit(1)).alias("bare"))
-    full = looked.where(F.col("look").eqNullSafe("whole") & F.col("body").rlike(_STOP)).groupBy("grp").agg(F.count(F.lit(1)).alias("full"))
+    full = looked.where("look = 'stop'").groupBy("grp").agg(F.count(F.lit(1)).alias("full"))
     habit = bare.join(full, bare.grp.eqNullSafe(full.grp), "left").select(bare.grp.alias("of"), (F.col("bare") >= HABIT * (F.col("bare") + F.coalesce("full", F.lit(0)))).alias("habit"))
     judged = part.join(habit, part.grp.eqNullSafe(habit.of), "left").withColumn(
         "cut",
@@ -112,4 +131,4 @@ def truncated(rows: DataFrame, more: DataFrame) -> DataFrame:
         .otherwise((F.col("part") < SURE) | ~F.col("closing")),
     )
     plain = looked.where("look <> 'doubt'").withColumn("cut", F.col("look") == "cut")
-    return plain.select(*rows.columns, "cut").unionByName(judged.select(*rows.columns, "cut"))
+    return plain.select(*keys, "cut").unionByName(judged.select(*keys, "cut"))
