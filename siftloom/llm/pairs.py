@@ -65,7 +65,8 @@ _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")
 
 
 def tokens(text: str) -> list[str]:
-    return _TOKEN.findall(unify_one(text, fold=True))
+    """Tokens of a text in its consistent form, in one case."""
+    return _TOKEN.findall(text.casefold())
 
 
 def shingles(t: Sequence[str]) -> set[tuple[str, str]]:
@@ -88,6 +89,9 @@ def lcs(a: Sequence[str], b: Sequence[str]) -> int:
 def is_empty(response: str | None) -> bool:
     if response is None:
         return True
+    # Longer texts that have some letters are none of the placeholders, whatever their form.
+    if len(response) > 60 and sum(c.isalnum() for c in response[:60]) > 12:
+        return False
     s = letters_form(response)
     return not s or s in PLACEHOLDERS
 
@@ -97,7 +101,7 @@ _TEMPLATES: list[tuple[list[str], set[tuple[str, str]]]] = []
 
 def declines(t: Sequence[str]) -> bool:
     if not _TEMPLATES:
-        _TEMPLATES.extend((x, shingles(x)) for x in map(tokens, REFUSALS))
+        _TEMPLATES.extend((x, shingles(x)) for x in (tokens(unify_one(r, fold=False)) for r in REFUSALS))
     if len(t) > max(len(x) for x, _ in _TEMPLATES) + BEYOND:
         return False
     own = shingles(t)
@@ -115,8 +119,8 @@ def copies_prompt(p: Sequence[str], t: Sequence[str]) -> bool:
 
 
 def language(text: str) -> str | None:
-    """zh, ja, a language of another script, one of _WORDS, ``latin`` when its words don't tell, or None for too little text."""
-    s = _CODE.sub(" ", unify_one(text, fold=False))
+    """Of a text in its consistent form: zh, ja, a language of another script, one of _WORDS, ``latin`` when its words don't tell, or None for too little text."""
+    s = _CODE.sub(" ", text)
     n = {k: len(r.findall(s)) for k, r in _SCRIPT.items()}
     han, words = len(_HAN.findall(s)), [w.lower() for w in _LATIN.findall(_HAN.sub(" ", s))]
     most = max(n, key=n.__getitem__)
@@ -145,12 +149,14 @@ def defects_of(prompts: pd.Series, shorts: pd.Series, details: pd.Series) -> pd.
     out = []
     for prompt, *responses in zip(prompts, shorts, details):
         found = set()
+        prompt = unify_one(prompt, fold=False) if prompt is not None else None
         p = tokens(prompt) if prompt is not None else []
         spoken = language(prompt) if prompt is not None else None
         for r in responses:
             if is_empty(r):
                 found.add("empty")
                 continue
+            r = unify_one(r, fold=False)
             t = tokens(r)
             if declines(t):
                 found.add("refusal")

@@ -119,6 +119,22 @@ def _spans(length: int) -> object:
                 step = m // 2
         return n
 
+    w = length - PERIOD + 1
+
+    def repeats(t: str, i: int) -> bool:
+        return t.find(t[i : i + w]) < i or t.find(t[i : i + w], i + 1) > 0
+
+    def covered(a: str, b: str) -> list[tuple[int, int]]:
+        """(start, length) of the runs of a's characters within windows that b has too."""
+        x, y = Rolling([a]), Rolling([b])
+        i, j = np.arange(len(a) - length + 1), np.arange(len(b) - length + 1)
+        at = i[np.isin(x.of(i, i + length), y.of(j, j + length))]
+        if not len(at):
+            return []
+        gap = np.flatnonzero(np.diff(at) > length)
+        first, last = at[np.concatenate(([0], gap + 1))], at[np.concatenate((gap, [len(at) - 1]))]
+        return list(zip(first.tolist(), (last - first + length).tolist()))
+
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -132,6 +148,9 @@ def _spans(length: int) -> object:
                     ends[j - i] = i + right
                     if left + right >= length:
                         out.append((lo, hi, i - left, j - left, left + right))
+                if out and out[-1][:2] == (lo, hi) and any(repeats(a, int(p["plo"])) or repeats(b, int(p["phi"])) for p in places):
+                    # A text that repeats itself has anchors at some of its repeats only: what it shares goes by all windows.
+                    out += [(lo, hi, i, -1, n) for i, n in covered(a, b)] + [(lo, hi, -1, j, n) for j, n in covered(b, a)]
             yield pd.DataFrame(out, columns=["lo", "hi", "at_lo", "at_hi", "len"])
 
     return f
@@ -153,7 +172,8 @@ def copies(docs: DataFrame) -> DataFrame:
 def shared_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """From (doc BIGINT, text): the maximal spans (lo, hi, at_lo, at_hi, len) between documents of different text, and copies (doc, first).
 
-    For a class of copies its first document has the spans.
+    For a class of copies its first document has the spans. Texts that repeat themselves also give rows for one side alone
+    (the other position is -1): the runs of characters that the other text has as well.
     """
     docs = docs.where(F.col("doc").isNotNull() & (F.length("text") >= length)).select("doc", "text")
     same = copies(docs)
@@ -195,7 +215,7 @@ def sharing_pairs(spans: DataFrame, same: DataFrame) -> DataFrame:
 def shared_part(docs: DataFrame, spans: DataFrame, same: DataFrame) -> DataFrame:
     """(doc, chars, shared, fraction) of every document: how many of its characters stand in a span that another has too."""
     ends = F.col("at") + F.col("len")
-    parts = spans.select(F.col("lo").alias("doc"), F.col("at_lo").alias("at"), "len").unionByName(spans.select(F.col("hi").alias("doc"), F.col("at_hi").alias("at"), "len")).distinct()
+    parts = spans.select(F.col("lo").alias("doc"), F.col("at_lo").alias("at"), "len").unionByName(spans.select(F.col("hi").alias("doc"), F.col("at_hi").alias("at"), "len")).where("at >= 0").distinct()
     before = Window.partitionBy("doc").orderBy("at", "len").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.greatest(F.coalesce(F.max(ends).over(before), F.lit(0)), F.col("at"))
     covered = parts.select("doc", F.greatest(ends - reached, F.lit(0)).alias("new")).groupBy("doc").agg(F.sum("new").alias("covered"))
