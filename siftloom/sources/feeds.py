@@ -50,7 +50,7 @@ def parsed_feeds(feeds: DataFrame) -> DataFrame:
                     rows += [{"feed": feed, "error": None, **e} for e in feed_entries(bytes(document))]
                 except (ElementTree.ParseError, TypeError) as e:
                     rows.append({"feed": feed, "error": str(e)[:200]})
-            yield pd.DataFrame(rows, columns=["feed", "title", "url", "summary", "published", "error"])
+            yield pd.DataFrame(rows, columns=["feed", "title", "url", "summary", "published", "error"], dtype=object)
 
     return feeds.select("feed", "document").mapInPandas(f, "feed STRING, title STRING, url STRING, summary STRING, published STRING, error STRING")
 
