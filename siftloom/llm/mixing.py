@@ -31,8 +31,8 @@ from ..session import durable
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 #: Tokens of a source's budget that are left to the dynamic program, and the most distinct lengths it takes.
 REST, LENGTHS = 40_000, 400
-#: Ranks within a length are found in so many slices.
-SLICES = 64
+#: Ranks within a length are found in so many slices at least, and in one more for so many documents.
+SLICES, SLICE_DOCS = 64, 1_000_000
 
 
 def token_count(text: Column, tokenizer: str = TOKENIZER) -> Column:
@@ -150,7 +150,8 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, strict: b
     uses = durable(by_length.groupBy("source").applyInPandas(_plan, "source STRING, tokens INT, uses BIGINT").where("uses > 0"), "uses")
     # The seeded rank within a length: slices of the hash are numbered apart and begin where the slices before them end.
     order = F.xxhash64("doc", F.lit(seed))
-    keyed = tokens.select("doc", "source", "tokens", order.alias("h")).withColumn("slice", F.pmod("h", F.lit(SLICES)))
+    slices = max(SLICES, (plan.agg(F.sum("n_docs")).first()[0] or 0) // SLICE_DOCS)
+    keyed = tokens.select("doc", "source", "tokens", order.alias("h")).withColumn("slice", F.pmod("h", F.lit(slices)))
     sizes = keyed.groupBy("source", "tokens", "slice").agg(F.count(F.lit(1)).alias("size"))
     length = Window.partitionBy("source", "tokens")
     starts = sizes.select(

@@ -6,6 +6,8 @@ eighth of all positions); two documents that share LENGTH characters share one s
 either. Only anchors that occur more than once leave the first shuffle. They are paired and extended to both sides on
 the texts, so every span reported is exact and maximal.
 
+Anchors that a large part of all documents has are told beforehand from a sample, so none of them meets in one task.
+
 Copies of a whole document are one class, found by a digest; the class's first document stands for it. An anchor in
 more than HOT places (page furniture) is not paired: each of its places gives the hashes of the LENGTH-character windows
 around it, and only those are paired, so furniture shorter than LENGTH makes no pairs at all.
@@ -32,8 +34,11 @@ PERIOD, COVER = 73, (0, 1, 3, 7, 15, 31, 36, 54, 63)
 HOT = 200
 #: Code points worked on at once, but for a single longer text.
 BLOCK = 1_000_000
-#: Ids that are broadcast at most: 5 million numbers.
-SMALL_IDS = 5_000_000
+#: Ids that are broadcast at most.
+SMALL_IDS = 1_000_000
+#: One document in so many tells which anchors are heavy: those found so often among them, at most so many. This
+#: decides on which way an anchor goes, never on the result.
+SAMPLE, HEAVY, HEAVIEST = 64, 1_000, 10_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -179,8 +184,17 @@ def shared_spans(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
     same = copies(docs)
     extra = same.where("doc <> first").select("doc").distinct()
     docs = docs.join(F.broadcast(extra) if same.count() <= SMALL_IDS else extra, "doc", "left_anti")
+    made = "key BIGINT, doc BIGINT, pos INT"
+    anchors = docs.mapInArrow(_anchors(length), made)
+    some = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).mapInArrow(_anchors(length), made)
+    heavy = durable(some.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY).orderBy(F.desc("n"), "key").limit(HEAVIEST).select("key"), "heavy")
     n = F.count(F.lit(1)).over(Window.partitionBy("key")).alias("n")
-    anchors = durable(docs.mapInArrow(_anchors(length), "key BIGINT, doc BIGINT, pos INT").select("key", "doc", "pos", n).where("n > 1"), "anchors")
+    if heavy.isEmpty():
+        anchors = anchors.select("key", "doc", "pos", n).where("n > 1")
+    else:
+        light = anchors.join(F.broadcast(heavy), "key", "left_anti").select("key", "doc", "pos", n).where("n > 1")
+        anchors = light.unionByName(anchors.join(F.broadcast(heavy), "key", "left_semi").select("key", "doc", "pos", F.lit(HOT + 1).cast("long").alias("n")))
+    anchors = durable(anchors, "anchors")
     hot = anchors.where(F.col("n") > HOT).groupBy("doc").agg(F.collect_list("pos").alias("places"))
     hot = durable(hot, "hot")
     cold = anchors.where(F.col("n") <= HOT).select("key", "doc", "pos")

@@ -50,9 +50,10 @@ def brute_spans(docs, n=150):
     return pairs, shared
 
 
-@pytest.mark.parametrize("hot", [2, 200])
-def test_spans_as_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(spans, "HOT", hot)
+@pytest.mark.parametrize(("hot", "sample", "heavy"), [(2, 64, 1000), (200, 64, 1000), (200, 1, 3)])
+def test_spans_as_brute_force(spark, monkeypatch, hot, sample, heavy):
+    for name, value in (("HOT", hot), ("SAMPLE", sample), ("HEAVY", heavy)):
+        monkeypatch.setattr(spans, name, value)
     docs = _passages(3)
     df = spark.createDataFrame(docs + [(1, docs[0][1]), (None, "q" * 500), (99, None)], DOCS).withColumn("lo", F.lit(1))
     found = shared_spans(df)
