@@ -60,4 +60,11 @@ def p8_filled_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_filled_shares": p8_filled_shares, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
-SQL: dict[str, str] = {}
+_WINDOWS = """WITH w AS (SELECT doc_id, length(text) n, unnest(range(1, length(text) - 148)) i, text FROM documents WHERE length(text) >= 150),
+  h AS (SELECT doc_id, i, md5(substring(text, i, 150)) h FROM w), d AS (SELECT DISTINCT doc_id, h FROM h), """
+SQL = {
+    "p9_found": _WINDOWS + "p AS (SELECT DISTINCT a.doc_id doc_lo, b.doc_id doc_hi FROM d a JOIN d b ON a.h = b.h AND a.doc_id < b.doc_id) SELECT * FROM p",
+    "p9_shared": _WINDOWS
+    + """m AS (SELECT h FROM d GROUP BY h HAVING count(*) > 1), c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 150)) p FROM h JOIN m USING (h)), s AS (SELECT doc_id, count(*) n FROM c GROUP BY 1)
+  SELECT t.doc_id, length(text) chars, coalesce(n, 0) shared, CASE WHEN length(text) > 0 THEN coalesce(n, 0) / length(text) ELSE 0.0 END fraction FROM documents t LEFT JOIN s USING (doc_id)""",
+}
