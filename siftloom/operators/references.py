@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import durable
+
 HEAVY = 256
 
 
@@ -42,20 +44,24 @@ def parents(df: DataFrame, target: str, key: str = "id", at: str = "added_at", d
 
 
 def dangling(refs: DataFrame, known: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """(tbl, rec_id, field, ref_id, arrival, reason) of the references that don't hold."""
+    """(tbl, rec_id, field, ref_id, arrival, reason) of the references that don't hold.
+
+    refs are read twice, so give them as a written table where they are long to make.
+    """
     on = ["target", "ref_id"]
-    keys = refs.groupBy(on).agg(F.count(F.lit(1)).alias("uses"), F.min("arrival").alias("first_use"))
+    keys = durable(refs.groupBy(on).agg(F.count(F.lit(1)).alias("uses"), F.min("arrival").alias("first_use")), "keys")
     missing = keys.join(known, on, "left_anti").select(*on, "uses", F.lit("missing").alias("verdict"), F.lit(None).cast("timestamp_ntz").alias("since"))
     wanting = (
         keys.join(known, on)
         .where("gone OR since > first_use")
         .select(*on, "uses", F.when(F.col("gone"), "deleted").otherwise("late").alias("verdict"), "since")
     )
-    bad = missing.unionByName(wanting)
+    bad = durable(missing.unionByName(wanting), "wanting")
     total = keys.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
     hot = bad.where(F.col("uses") > total / heavy).drop("uses")
-    cold = bad.where(F.col("uses") <= total / heavy).drop("uses")
-    back = refs.join(F.broadcast(hot), on).unionByName(refs.join(cold, on))
+    back = refs.join(bad.where(F.col("uses") <= total / heavy).drop("uses"), on)
+    if not hot.isEmpty():
+        back = back.unionByName(refs.join(F.broadcast(hot), on))
     return back.where("verdict <> 'late' OR since > arrival").select("tbl", "rec_id", "field", "ref_id", "arrival", F.col("verdict").alias("reason"))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.references import dangling, dangling_report, parents, references
-from ..session import table
+from ..session import durable, table
 
 
 def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -20,7 +20,7 @@ def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
             references(e, "experiences", "source_id", "sources"),
         ),
     )
-    return refs, parents(s, "sources").unionByName(parents(q, "questions"))
+    return durable(refs, "references"), parents(s, "sources").unionByName(parents(q, "questions"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
