@@ -1,10 +1,12 @@
 """A training mix in which each source has its target share of all tokens, and no document is used more than max_repeats times.
 
-The corpus is seen twice: once to count each text's tokens, once (the kept counts) to select. Per source the documents are
-counted by exact token length, so a source is a bounded knapsack of lengths however many documents it has. All of the
-lowest seeded ranks are taken while they surely fit, and a dynamic program over the lengths that are left fits the rest of
-the budget to the token, if any subset does, else as near below it as one comes. Which documents of a length are
-taken is by the seeded rank, so equal seeds give equal mixes on any cluster.
+The corpus is seen twice: once to count each text's tokens, once (the kept counts) to select. A source's documents are
+taken in their seeded order, whatever their lengths, in whole rounds while the budget holds all of them and then one by one
+until a small rest is left. A bounded knapsack over the lengths that are left, exact by token length however many documents
+there are, fits that rest to the token. Where the least rest can't be fitted a larger one is tried, up to REST tokens; a
+budget within REST may be fitted as a whole, so it is met if any subset meets it. Beyond REST a budget may be missed that
+another choice of documents would meet: then the nearest of the tries holds. Which documents of a length are
+taken is by the seeded order too, so equal seeds give equal mixes on any cluster.
 
 Budgets: ``total`` tokens times the share. A source that is too small gives each of its documents max_repeats times, and the shares
 left open are reported. Without ``total``, the mix is the largest in which every source that has documents reaches its
@@ -20,6 +22,7 @@ rows; the report has a row for every target.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +34,8 @@ from ..session import durable
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 #: Tokens of a source's budget that are left to the dynamic program, and the most distinct lengths it takes.
 REST, LENGTHS = 40_000, 400
+#: The rests that are tried, the least first: what the program chooses doesn't follow the seeded order, so it gets as little as it can.
+RESTS = tuple(REST >> k for k in range(6, -1, -1))
 #: Ranks within a length are found in so many slices at least, and in one more for so many documents.
 SLICES, SLICE_DOCS = 64, 1_000_000
 
@@ -97,33 +102,53 @@ def fit(lengths: np.ndarray, copies: np.ndarray, budget: int) -> np.ndarray:
     return out
 
 
+def _filled(length: np.ndarray, uses: np.ndarray, most: np.ndarray, budget: int) -> np.ndarray:
+    """uses, and what fits the rest of the budget best: by the dynamic program over the lengths with most copies left."""
+    uses = uses.copy()
+    rest = budget - int((length * uses).sum())
+    left = most - uses
+    if rest > 2 * REST:
+        # The next document in order is longer than the program takes: an even draw from those that it takes, a step of 1 / part.
+        fits = np.where(length <= REST, left, 0)
+        part = min(1.0, (rest - REST) / max(1.0, float((length * fits).sum())))
+        drawn = np.diff(np.floor(np.cumsum(fits) * part + 0.5).astype(np.int64), prepend=0)
+        for k in np.flatnonzero(drawn):
+            m = min(int(drawn[k]), int(left[k]), rest // int(length[k]))
+            uses[k] += m
+            rest -= m * int(length[k])
+        left = most - uses
+    step = np.argsort(-np.minimum(left, rest // np.maximum(length, 1)), kind="stable")[:LENGTHS]
+    step = step[left[step] > 0]
+    uses[step] += fit(length[step], left[step], min(rest, 2 * REST))
+    return uses
+
+
 def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One source's lengths (tokens, n, budget, max_repeats) to (source, tokens, uses): uses of all documents of a length together."""
-    pdf = pdf.sort_values("tokens").reset_index(drop=True)
-    length, n = pdf["tokens"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
+    """One source's lengths (tokens, level, n, budget, max_repeats) to (source, tokens, uses): uses of all documents of a length together.
+
+    A document of level v is in order before the last RESTS[v - 1] tokens of the budget. The least rest that is fitted to
+    the token holds; where none is, the nearest.
+    """
     r, budget = int(pdf["max_repeats"].iloc[0]), int(pdf["budget"].iloc[0])
+    by_level = pdf.pivot_table(index="tokens", columns="level", values="n", aggfunc="sum", fill_value=0).reindex(columns=range(len(RESTS) + 1), fill_value=0)
+    length, held = by_level.index.to_numpy(np.int64), by_level.to_numpy(np.int64)
+    n = held.sum(axis=1)
     most = n * r
     if int((length * most).sum()) <= budget:
         uses = most
     else:
-        # The same part of every length first, then what is left of the lengths with most copies left fits the rest.
-        part = max(0.0, (budget - REST) / float((length * most).sum()))
-        uses = np.floor(most * part).astype(np.int64)
-        left = most - uses
-        rest = budget - int((length * uses).sum())
-        step = np.argsort(-np.minimum(left, rest // np.maximum(length, 1)), kind="stable")[:LENGTHS]
-        while rest > 2 * REST:
-            # Many rare lengths: whole documents, the longest first, till the rest suits the dynamic program.
-            for k in np.argsort(-length, kind="stable"):
-                m = min(int(left[k]), max(0, (rest - REST) // int(length[k])))
-                uses[k] += m
-                left[k] -= m
-                rest -= m * int(length[k])
-            break
-        step = step[left[step] > 0]
-        got = fit(length[step], left[step], rest)
-        uses[step] += got
-    return pd.DataFrame({"source": pdf["source"], "tokens": length.astype("int32"), "uses": uses})
+        rounds = n * (budget // int((length * n).sum()))
+        starts = [rounds + held[:, j + 1 :].sum(axis=1) for j in range(len(RESTS))]
+        if budget <= REST:
+            starts.append(np.zeros_like(n))
+        uses = None
+        for start in starts:
+            got = _filled(length, start, most, budget)
+            if uses is None or int((length * got).sum()) > int((length * uses).sum()):
+                uses = got
+            if int((length * uses).sum()) == budget:
+                break
+    return pd.DataFrame({"source": pdf["source"].iloc[0], "tokens": length.astype("int32"), "uses": uses})
 
 
 def budgets(tokens: DataFrame, targets: DataFrame, total: int | None, strict: bool) -> DataFrame:
@@ -145,20 +170,28 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, strict: b
     tokens = counted(docs, tokenizer)
     plan = budgets(tokens, targets, total, strict)
     tokens = tokens.join(plan.select("source"), "source", "left_semi")
-    # A source's lengths are few: at most as many as its longest text has tokens.
-    by_length = tokens.groupBy("source", "tokens").agg(F.count(F.lit(1)).alias("n")).join(plan.select("source", "budget", "max_repeats"), "source")
-    uses = durable(by_length.groupBy("source").applyInPandas(_plan, "source STRING, tokens INT, uses BIGINT").where("uses > 0"), "uses")
-    # The seeded rank within a length: slices of the hash are numbered apart and begin where the slices before them end.
+    # The seeded order of a source: slices of the hash are numbered and summed apart and begin where the slices before them end.
     order = F.xxhash64("doc", F.lit(seed))
     slices = max(SLICES, (plan.agg(F.sum("n_docs")).first()[0] or 0) // SLICE_DOCS)
     keyed = tokens.select("doc", "source", "tokens", order.alias("h")).withColumn("slice", F.pmod("h", F.lit(slices)))
+    cell = Window.partitionBy("source", "slice").orderBy("h", "doc")
+    within = F.row_number().over(Window.partitionBy("source", "slice", "tokens").orderBy("h", "doc")) - 1
+    keyed = durable(keyed.select("doc", "source", "tokens", "slice", F.sum(F.col("tokens").cast("long")).over(cell).alias("sum"), within.alias("k")), "order")
+    ends = keyed.groupBy("source", "slice").agg(F.max("sum").alias("all"))
+    ends = ends.select("source", "slice", (F.sum("all").over(Window.partitionBy("source").orderBy("slice")) - F.col("all")).alias("before"))
+    own = plan.where("available > 0").select("source", "budget", "max_repeats", F.expr("budget % available").alias("last"))
+    gap = F.col("last") - F.col("before") - F.col("sum")
+    level = reduce(Column.__add__, ((gap >= x).cast("int") for x in RESTS))
+    # A source's lengths are few: at most as many as its longest text has tokens.
+    by_length = keyed.join(ends, ["source", "slice"]).join(own.select("source", "last"), "source").groupBy("source", "tokens", level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    by_length = by_length.join(own.drop("last"), "source")
+    uses = durable(by_length.groupBy("source").applyInPandas(_plan, "source STRING, tokens INT, uses BIGINT").where("uses > 0"), "uses")
     sizes = keyed.groupBy("source", "tokens", "slice").agg(F.count(F.lit(1)).alias("size"))
     length = Window.partitionBy("source", "tokens")
     starts = sizes.select(
         "source", "tokens", "slice", (F.sum("size").over(length.orderBy("slice")) - F.col("size")).alias("start"), F.sum("size").over(length).alias("n")
     )
-    within = F.row_number().over(Window.partitionBy("source", "tokens", "slice").orderBy("h", "doc")) - 1
-    ranked = keyed.withColumn("k", within).join(starts, ["source", "tokens", "slice"]).join(uses, ["source", "tokens"])
+    ranked = keyed.join(starts, ["source", "tokens", "slice"]).join(uses, ["source", "tokens"])
     rank = F.col("start") + F.col("k")
     # Uses spread evenly: every document uses div n times, the first uses mod n once more.
     repeats = (F.expr("uses DIV n") + F.when(rank < F.col("uses") % F.col("n"), 1).otherwise(0)).cast("int")

@@ -143,3 +143,31 @@ def test_mix(spark, monkeypatch):
     again = {tuple(r) for r in mix(df, targets, 20_000)[0].collect()}
     assert again == {tuple(r) for r in mix(df, targets, 20_000)[0].collect()} != {tuple(r) for r in mix(df, targets, 20_000, seed=1)[0].collect()}
     assert mix(df.limit(0), targets)[0].count() == 0 and mix(df, targets.limit(0))[0].count() == 0
+
+
+@pytest.mark.parametrize("n", [400, 4000])
+def test_mix_takes_lengths_as_the_source_has_them(spark, monkeypatch, n):
+    monkeypatch.setattr("siftloom.llm.mixing.token_count", _tokens)
+    rng = random.Random(n)
+    size = {k: int(40 * 2 ** rng.uniform(0, 7)) for k in range(n)}
+    df = spark.createDataFrame([(k, "x" * v, "s") for k, v in size.items()], "doc LONG, text STRING, source STRING")
+    targets = spark.createDataFrame([("s", 1.0, 4)], "source STRING, target_share DOUBLE, max_repeats INT")
+    total = sum(size.values()) // 2
+    chosen, report = mix(df, targets, total=total)
+    picked, ordered = {r["doc"] for r in chosen.collect()}, sorted(size, key=size.get)
+    for q in range(4):
+        part = ordered[q * n // 4 : (q + 1) * n // 4]
+        assert 0.35 < sum(k in picked for k in part) / len(part) < 0.65
+    assert report.first()["used_tokens"] == total
+
+
+def test_mix_by_rounds(spark, monkeypatch):
+    monkeypatch.setattr("siftloom.llm.mixing.token_count", _tokens)
+    rng = random.Random(2)
+    docs = [(k, "x" * rng.randint(40, 4000), "s") for k in range(300)]
+    df = spark.createDataFrame(docs, "doc LONG, text STRING, source STRING")
+    targets = spark.createDataFrame([("s", 1.0, 4)], "source STRING, target_share DOUBLE, max_repeats INT")
+    total = sum(len(t) for _, t, _ in docs) * 5 // 2
+    chosen, report = mix(df, targets, total=total)
+    repeats = [r["repeats"] for r in chosen.collect()]
+    assert len(repeats) == 300 and sum(r in (2, 3) for r in repeats) > 290 and report.first()["used_tokens"] == total
