@@ -3,7 +3,8 @@
 A prefix-tree hash forest. In each of TREES views of one hash a text has a signature: the bottom-k values of the view in
 ascending order, a short piece of each, one after the other; so the texts that agree in their first values stand in one
 range of the sorted signatures. A run keeps the sorted signatures of one delivery in every tree, in buckets by tree and
-shortest prefix (``head``), each bucket sorted; a batch adds a run and ``merge_runs`` makes one of many. A search finds
+shortest prefix (``head``), each bucket sorted; a batch adds a run and ``merge_runs`` makes one of many. ``known_rows`` asks for
+all batches at once; ``accept_batch`` takes one delivery, signs only its texts, searches the runs kept so far and adds its own. A search finds
 an entry's bucket without moving the history, looks at the longest prefix first in a few trees, and widens to the
 shortest prefix in all trees for what found no verified match. The shortest prefix is the longest one that meets a text
 of similarity SIM in at least one tree with probability RECALL. SKETCH further bits a text drop most of the chance
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -36,6 +38,8 @@ RECALL = 0.998
 FIRST_TREES = 4
 SKETCH = 80
 HOT = 400
+#: Deliveries whose tables stand side by side; one more, and they are made one.
+MOST_RUNS = 8
 #: Bits that may differ at SIM: their mean and 3.7 standard deviations.
 FAR = int(SKETCH * (1 - SIM) / 2 + 3.7 * (SKETCH * (1 - SIM) / 2 * (1 + SIM) / 2) ** 0.5)
 #: Pieces in a head: the longest prefix whose recall suffices.
@@ -141,23 +145,48 @@ def search(asked: DataFrame, asked_run: DataFrame, held: DataFrame, held_run: Da
     return reduce(DataFrame.union, wide, first)
 
 
+def before() -> Column:
+    """Whether what came in batch b or at time s is earlier than the row."""
+    return (F.col("b") < F.col("batch")) | (F.col("s") < F.col("at"))
+
+
+def _news(new: DataFrame) -> DataFrame:
+    return durable(new.where("id IS NOT NULL").distinct().select("id", "batch", "at", form_of("title").alias("form")), "news")
+
+
+def _olds(other: DataFrame) -> DataFrame:
+    arrival = other.where("id IS NOT NULL").groupBy("id").agg(F.min("since").alias("since"))
+    return durable(other.select("id", "title").distinct().join(arrival, "id").select("id", "since", form_of("title").alias("form")), "olds")
+
+
+def _answers(rows: DataFrame, ids: DataFrame, times: DataFrame, find: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]) -> DataFrame:
+    """The ids of rows (id, batch, at, rep, same) that an earlier record matches: by its form, by its id (id, b, s), or by what find gives for their entries, whose times are (with, hb, hs)."""
+    by_id = rows.where("NOT same").join(ids, "id").where(before()).select("id")
+
+    def settled(matches: DataFrame) -> DataFrame:
+        # Settled: an entry whose every open row has a match; the earliest row is the hardest to match.
+        first = rows.where("NOT same AND rep IS NOT NULL").groupBy("rep").agg(F.min("batch").alias("b"), F.min("at").alias("s"))
+        return matches.join(first, "rep").join(times, "with").where("hb < b OR hs < s").select("rep").distinct()
+
+    matches = find(settled)
+    seen = matches.groupBy("rep", "with").agg(F.lit(1)).select("rep", "with").join(times, "with").groupBy("rep").agg(F.min("hb").alias("b"), F.min("hs").alias("s"))
+    similar = rows.where("NOT same AND rep IS NOT NULL").join(seen, "rep").where(before()).select("id")
+    return rows.where("same").select("id").union(by_id).union(similar).distinct()
+
+
 def known_rows(new: DataFrame, other: DataFrame) -> DataFrame:
     """Ids of new (id, title, batch, at) that an earlier record matches: one of new with a smaller batch, or one of other (id, title, since) that arrived before ``at``.
 
     All batches are asked at once: the run holds every entry with the time it came, and a search sees only what is earlier.
     """
-    news = durable(new.where("id IS NOT NULL").distinct().select("id", "batch", "at", form_of("title").alias("form")), "news")
-    arrival = other.where("id IS NOT NULL").groupBy("id").agg(F.min("since").alias("since"))
-    olds = durable(other.select("id", "title").distinct().join(arrival, "id").select("id", "since", form_of("title").alias("form")), "olds")
+    news, olds = _news(new), _olds(other)
     held = entries(
         news.where("form IS NOT NULL").select("form", "batch", F.lit(None).cast("timestamp_ntz").alias("since")).unionByName(olds.where("form IS NOT NULL").select("form", F.lit(None).cast("int").alias("batch"), "since"))
     )
     ids = news.groupBy("id").agg(F.min("batch").alias("batch"), F.lit(None).cast("timestamp_ntz").alias("since")).unionByName(olds.select("id", F.lit(None).cast("int").alias("batch"), "since"))
     ids = ids.groupBy("id").agg(F.min("batch").alias("b"), F.min("since").alias("s"))
-    before = (F.col("b") < F.col("batch")) | (F.col("s") < F.col("at"))
     own = held.select("rep", "form", F.col("batch").alias("b"), F.col("since").alias("s"))
-    rows = durable(news.join(own, "form", "left").withColumn("same", F.coalesce(before, F.lit(False))).drop("b", "s"), "rows")
-    by_id = rows.where("NOT same").join(ids, "id").where(before).select("id")
+    rows = durable(news.join(own, "form", "left").withColumn("same", F.coalesce(before(), F.lit(False))).drop("b", "s"), "rows")
     run = held.sparkSession.table(add_run(held))
 
     def earlier(q: str, h: str) -> Column:
@@ -165,14 +194,80 @@ def known_rows(new: DataFrame, other: DataFrame) -> DataFrame:
         return F.col(f"{q}.batch").isNotNull()
 
     times = held.select(F.col("rep").alias("with"), F.col("batch").alias("hb"), F.col("since").alias("hs"))
+    return _answers(rows, ids, times, lambda settled: search(held, run, held, run, earlier, settled))
 
-    def settled(matches: DataFrame) -> DataFrame:
-        # Settled: an entry whose every open row has a match; the earliest row is the hardest to match.
-        first = rows.where("NOT same AND rep IS NOT NULL").groupBy("rep").agg(F.min("batch").alias("b"), F.min("at").alias("s"))
-        return matches.join(first, "rep").join(times, "with").where("hb < b OR hs < s").select("rep").distinct()
 
-    matches = search(held, run, held, run, earlier, settled)
-    seen = matches.groupBy("rep", "with").agg(F.lit(1)).select("rep", "with").join(times, "with").groupBy("rep").agg(F.min("hb").alias("b"), F.min("hs").alias("s"))
-    similar = rows.where("NOT same AND rep IS NOT NULL").join(seen, "rep").where(before).select("id")
-    return rows.where("same").select("id").union(by_id).union(similar).distinct()
+@dataclass(frozen=True)
+class History:
+    """Names of the tables of what has been accepted: runs, entries (rep, form), times (rep, b, s) and ids (id, b, s), one of each a delivery.
+
+    A history is a value: a delivery that fails leaves the one before it as it was.
+    """
+
+    runs: tuple[str, ...] = ()
+    entries: tuple[str, ...] = ()
+    times: tuple[str, ...] = ()
+    ids: tuple[str, ...] = ()
+
+
+def _table(rows: DataFrame, kind: str) -> str:
+    name = f"{kind}_{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").option("path", f"{shared_dir(rows.sparkSession)}/{name}").saveAsTable(name)
+    return name
 
+
+def _all(spark, names: tuple[str, ...]) -> DataFrame:
+    return reduce(DataFrame.unionByName, map(spark.table, names))
+
+
+def _earliest(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.min("b").alias("b"), F.min("s").alias("s"))
+
+
+def merged(spark, history: History) -> History:
+    """The same history, one table of each kind."""
+    if len(history.runs) < 2:
+        return history
+    one = [_table(rows, kind) for rows, kind in ((_all(spark, history.entries), "entries"), (_earliest(_all(spark, history.times), "rep"), "times"), (_earliest(_all(spark, history.ids), "id"), "ids"))]
+    return History((merge_runs(spark, list(history.runs)),), *((name,) for name in one))
+
+
+def accept_batch(history: History, new: DataFrame, other: DataFrame) -> tuple[DataFrame, History]:
+    """One delivery, new (id, title, batch, at) and other (id, title, since), against the history and itself: the ids of new as known_rows has them, and the history with the delivery.
+
+    Only the delivery's forms are signed. A form keeps the number of its first delivery; new ones are numbered after all
+    that the history has, so numbers of different runs never mean different forms. Deliveries are accepted one after the other.
+    """
+    spark = new.sparkSession
+    news, olds = _news(new), _olds(other)
+    forms = news.select("form", F.col("batch").alias("b"), F.lit(None).cast("timestamp_ntz").alias("s")).unionByName(olds.select("form", F.lit(None).cast("int").alias("b"), F.col("since").alias("s")))
+    forms = _earliest(forms.where("form IS NOT NULL"), "form")
+    if history.runs:
+        had = _all(spark, history.entries)
+        after = (had.agg(F.max("rep")).first()[0] or 0) + 1
+        forms = forms.join(had.join(forms.select("form"), "form", "left_semi").select("form", F.col("rep").alias("old")), "form", "left")
+    else:
+        after, forms = 0, forms.withColumn("old", F.lit(None).cast("long"))
+    number = F.coalesce(F.col("old"), F.monotonically_increasing_id() + F.lit(after))
+    forms = durable(forms.select("form", "b", "s", number.alias("rep"), F.col("old").isNull().alias("fresh")), "forms")
+    signed = durable(forms.select("rep", "form", F.col("b").alias("batch"), F.col("s").alias("since")).mapInArrow(_signatures, RUN), "signed")
+    own_ids = news.select("id", F.col("batch").alias("b"), F.lit(None).cast("timestamp_ntz").alias("s")).unionByName(olds.select("id", F.lit(None).cast("int").alias("b"), F.col("since").alias("s")))
+    grown = History(
+        (*history.runs, _keep(signed.join(forms.where("fresh").select("rep"), "rep", "left_semi").select(signed.columns))),
+        (*history.entries, _table(forms.where("fresh").select("rep", "form"), "entries")),
+        (*history.times, _table(forms.select("rep", "b", "s"), "times")),
+        (*history.ids, _table(_earliest(own_ids, "id"), "ids")),
+    )
+    held, ids, times = _all(spark, grown.entries), _earliest(_all(spark, grown.ids), "id"), _earliest(_all(spark, grown.times), "rep")
+    rows = news.join(forms.select("form", "rep"), "form", "left").join(times, "rep", "left")
+    rows = durable(rows.withColumn("same", F.coalesce(before(), F.lit(False))).drop("b", "s"), "rows")
+    asking = rows.where("NOT same AND rep IS NOT NULL").select("rep").distinct()
+    asked, asked_run = forms.join(asking, "rep", "left_semi"), durable(signed.join(asking, "rep", "left_semi").select(signed.columns), "asked")
+    times = times.select(F.col("rep").alias("with"), F.col("b").alias("hb"), F.col("s").alias("hs"))
+
+    def find(settled: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        # Run by run: a union of runs would lose their buckets, and the history would be moved.
+        return reduce(DataFrame.union, (search(asked, asked_run, held, spark.table(run), lambda q, h: F.lit(True), settled) for run in grown.runs))
+
+    known = durable(_answers(rows, ids, times, find), "known")
+    return known, merged(spark, grown) if len(grown.runs) > MOST_RUNS else grown

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import siftloom.llm.history as history
-from siftloom.llm.history import add_run, entries, known_rows, merge_runs
+from siftloom.llm.history import History, accept_batch, add_run, entries, known_rows, merge_runs
 from siftloom.llm.looks import look_alike_pairs, unify, unify_one
 from siftloom.llm.near_duplicates import near_duplicates, pairs_of
 from siftloom.llm.sketches import letters_form, similarity
@@ -116,3 +116,25 @@ def test_runs_merge_to_the_same_entries(spark):
     parts = [add_run(held.where(F.col("rep") % 2 == k)) for k in (0, 1)]
     both = spark.table(merge_runs(spark, parts))
     assert both.exceptAll(spark.table(one)).count() == 0 and spark.table(one).count() == both.count()
+
+
+@pytest.mark.parametrize("most", [1, 8])
+def test_batches_one_by_one_as_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(history, "MOST_RUNS", most)
+    monkeypatch.setattr(history, "HOT", 5)
+    rng, day = random.Random(11), dt(2025, 1, 1)
+    ts = _titles(4, 12)
+    # A near-copy of each text comes first in a later batch, as a run's first entries, where numbers of one run alone would be equal.
+    new = [(f"r{k % 40}", ts[k % 40] + ("，甲" if k % 3 else ""), 1 + k * 4 // 60, day + timedelta(days=rng.randint(0, 60))) for k in range(60)]
+    new += [("rn", None, 1, day), ("rn", None, 3, day), ("s1", "字", 1, day), ("s2", "字！", 4, day), ("r0", ts[5], 4, day), ("late", ts[44], 4, day + timedelta(days=50)), ("q2", "别的", 2, day + timedelta(days=61))]
+    old = [(f"q{k}", ts[40 + k % 8], day + timedelta(days=rng.randint(0, 60))) for k in range(8)] + [("q9", ts[44], day + timedelta(days=2))]
+    a = spark.createDataFrame(new, "id STRING, title STRING, batch INT, at TIMESTAMP_NTZ")
+    b = spark.createDataFrame(old, "id STRING, title STRING, since TIMESTAMP_NTZ")
+    now, got = History(), set()
+    for n in range(1, 5):
+        known, now = accept_batch(now, a.where(F.col("batch") == n), b if n == 1 else b.limit(0))
+        got |= {r[0] for r in known.collect()}
+        assert len(now.runs) <= most
+    assert got == brute_known(new, old) == {r[0] for r in known_rows(a, b).collect()}
+    held = spark.table(now.entries[0]) if most == 1 else spark.table(now.entries[0]).unionByName(spark.table(now.entries[1])).unionByName(spark.table(now.entries[2])).unionByName(spark.table(now.entries[3]))
+    assert held.select("rep").distinct().count() == held.count() == held.select("form").distinct().count()
