@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import match_key
+from ..functions.text import title_key
 
 
 def first_non_empty(c: str, order: str) -> Column:
@@ -22,9 +22,8 @@ def longest(c: str, order: str) -> Column:
 
 
 def merged_by_title(rows: DataFrame, title: str, order: str, keep_longest: Sequence[str], tags: str, most_tags: int = 8) -> DataFrame:
-    """One row per match key of the title: the first row's title, the longest of some fields, the tags of all in order, cut only where rows merged."""
-    key = match_key(F.col(title))
-    own = rows.withColumn("key", key).where("key <> ''")
+    """One row per title_key of the title: the first row's title, the longest of some fields, the tags of all in order, cut only where rows merged."""
+    own = rows.withColumn("key", title_key(F.col(title))).where("key <> ''")
     tag = own.select("key", order, F.posexplode(tags).alias("pos", "tag")).groupBy("key", "tag").agg(F.min(F.struct(order, "pos")).alias("at"))
     tag = tag.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "tag"))), lambda x: x["tag"]).alias("all_tags"))
     out = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by(title, order).alias(title), *(longest(c, order).alias(c) for c in keep_longest))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import io
 import random
+import re
 import zipfile
 from datetime import datetime as dt
 
@@ -76,6 +77,17 @@ def test_merge_by_title(spark):
     assert set(got) == {"ab", "solo"} and (got["ab"]["t"], got["ab"]["d"], got["ab"]["tags"]) == ("Ab", "xyz", ["a", "b"]) and len(got["solo"]["tags"]) == 9
 
 
+def test_merge_by_title_of_any_script(spark):
+    titles = ["ＡＢ", "ＡＢ？", "ＣＤ", "é", "É!", "e", "かな", "かに", "Тест", "тест", "x²", "x", "a_b", "ab", "e\u0301", "？！", None]
+    want = {}
+    for t in titles:
+        key = re.sub(r"\W+", "", t or "").lower()
+        if key:
+            want[key] = want.get(key, 0) + 1
+    df = spark.createDataFrame([(i, t, "d", ["g"]) for i, t in enumerate(titles)], "o LONG, t STRING, d STRING, tags ARRAY<STRING>")
+    assert {r["key"]: r["n"] for r in R.merged_by_title(df, "t", "o", ["d"], "tags").collect()} == want
+
+
 def test_best_earlier_and_prefix_filter_as_brute_force(spark):
     rng = random.Random(9)
     base = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 14))) for _ in range(25)]
