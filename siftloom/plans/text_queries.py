@@ -35,6 +35,12 @@ def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.without_tags(c, 600).alias("cleaned"), T.bounded(c, 60).alias("bounded"), T.bounded_lines(c, 300).alias("lines"))
 
 
+def q_whole_text(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaning of q_clean_text at the reference's limits: a summary's, a short answer's, and a detailed answer's."""
+    c = F.col("text")
+    return table(spark, d, "documents").select("doc_id", T.without_tags(c, 600).alias("cleaned"), T.bounded(c, 1000).alias("bounded"), T.bounded_lines(c, 7000).alias("lines"))
+
+
 def q_stable_id(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "questions").select("id", T.pair_id(F.col("domain"), F.col("title"), "question").alias("made"), T.stable_id(F.col("title"), "outline").alias("outline")).distinct()
 
@@ -105,6 +111,11 @@ def q_visible_text(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).select("doc_id", W.visible_text(F.col("html"), 2000).alias("seen"))
 
 
+def q_whole_page(spark: SparkSession, d: str) -> DataFrame:
+    """The pages of q_visible_text at the reference's limits: of an excerpt, and of an imported file."""
+    return _pages(spark, d).select("doc_id", W.visible_text(F.col("html"), 12_000).alias("excerpt"), W.visible_text(F.col("html"), 200_000).alias("seen"))
+
+
 def _links(spark: SparkSession, d: str) -> DataFrame:
     p = _pages(spark, d).select("doc_id", "url", F.explode(W.page_links(F.col("html"))).alias("l")).select("doc_id", F.col("url").alias("page"), "l.*")
     return p.withColumn("url", W.safe_link(F.col("page"), F.col("href"), ("example",)))
@@ -173,7 +184,7 @@ def q_halves(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    q_match_key, q_clean_text, q_stable_id, q_canonical_domain, q_bigrams, q_tags, q_markdown_images, q_outline_limit, q_display, q_normal_url, q_host_counts, q_visible_text, q_links,
+    q_match_key, q_clean_text, q_whole_text, q_stable_id, q_canonical_domain, q_bigrams, q_tags, q_markdown_images, q_outline_limit, q_display, q_normal_url, q_host_counts, q_visible_text, q_whole_page, q_links,
     q_relevant_links, q_keyword_score, q_keyword_hits, q_feed_dates, q_follow_ups, q_repaired_json, q_quality_issues, q_chunks, q_halves,
 )}
 
@@ -188,6 +199,8 @@ SQL = {
     "q_match_key": f"SELECT doc_id, sha256({_KEY('text')}) fingerprint, length({_KEY('text')}) n_key FROM documents",
     "q_clean_text": f"""SELECT doc_id, left({_SQ("regexp_replace(text, '<[^>]+>', ' ', 'g')")}, 600) cleaned, left({_SQ('text')}, 60) bounded,
       left(array_to_string(list_filter(list_transform(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda x: left({_SQ('x')}, 300)), lambda x: x <> ''), chr(10)), 300) AS lines FROM documents""",
+    "q_whole_text": f"""SELECT doc_id, left({_SQ("regexp_replace(text, '<[^>]+>', ' ', 'g')")}, 600) cleaned, left({_SQ('text')}, 1000) bounded,
+      left(array_to_string(list_filter(list_transform(string_split(replace(coalesce(text, ''), chr(13), ''), chr(10)), lambda x: left({_SQ('x')}, 7000)), lambda x: x <> ''), chr(10)), 7000) AS lines FROM documents""",
     "q_stable_id": "SELECT DISTINCT id, 'question-' || sha256(domain || chr(10) || title)[1:16] made, 'outline-' || sha256(title)[1:16] outline FROM questions",
     "q_canonical_domain": f"SELECT domain, count(*) n, coalesce((SELECT l FROM (SELECT unnest({_LIST(DOMAINS)}) l) WHERE {_KEY('l')} = {_KEY(f'left({_SQ('domain')}, 60)')}), left({_SQ('domain')}, 60)) canonical FROM questions GROUP BY domain",
     "q_bigrams": f"WITH k AS (SELECT id, {_KEY('title')} k FROM questions), g AS (SELECT id, unnest({_GRAMS('k')}) gram FROM k) SELECT gram, count(DISTINCT id) n FROM g GROUP BY gram",
@@ -205,6 +218,8 @@ SQL = {
     "q_host_counts": """WITH h AS (SELECT lower(regexp_extract(source_url, '//([^/?#]*)', 1)) host FROM review)
       SELECT host, count(*) n, bool_or(regexp_matches(host, '(^|\\.)site00[06]\\.example$')) wanted FROM h GROUP BY host""",
     "q_visible_text": f"""SELECT doc_id, left({_SQ("replace(replace(regexp_replace(regexp_replace(regexp_replace(body, '<!--.*?-->', ' ', 'gs'), '<script.*?</script>', ' ', 'gs'), '<[^>]+>', ' ', 'g'), '&quot;', chr(34)), '&amp;', '&') || ' 嵌入式  面试题  in  m  out  no '")}, 2000) seen FROM {_HTML}""",
+    "q_whole_page": f"""WITH t AS (SELECT doc_id, {_SQ("replace(replace(regexp_replace(regexp_replace(regexp_replace(body, '<!--.*?-->', ' ', 'gs'), '<script.*?</script>', ' ', 'gs'), '<[^>]+>', ' ', 'g'), '&quot;', chr(34)), '&amp;', '&') || ' 嵌入式  面试题  in  m  out  no '")} t FROM {_HTML})
+      SELECT doc_id, left(t, 12000) excerpt, left(t, 200000) seen FROM t""",
     "q_links": f"""SELECT doc_id, pos, CASE pos WHEN 0 THEN '/q/' || doc_id || '?utm_source=p' WHEN 1 THEN '/login' WHEN 2 THEN 'mailto:a@b' WHEN 3 THEN 'https://other.invalid/' || doc_id ELSE 'next/' || doc_id END href,
       CASE pos WHEN 0 THEN '嵌入式 面试题' WHEN 1 THEN 'in' WHEN 2 THEN 'm' WHEN 3 THEN 'out' ELSE '' END anchor,
       CASE pos WHEN 0 THEN 'https://' || site || '/q/' || doc_id WHEN 4 THEN 'https://' || site || '/p/next/' || doc_id ELSE '-' END url FROM {_FINE}""",

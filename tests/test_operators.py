@@ -202,3 +202,14 @@ def test_every_query_has_a_function_and_sql_has_a_query():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 40
+
+
+def test_long_pages_and_texts_keep_their_tails(spark, tmp_path):
+    from siftloom.plans.text_queries import QUERIES
+
+    body = "\n".join(f"第 {k} 行 of a long page" for k in range(300))
+    row = (1, "s.example", body)
+    spark.createDataFrame([row], "doc_id LONG, site STRING, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    page, text = (QUERIES[q](spark, str(tmp_path)).first() for q in ("q_whole_page", "q_whole_text"))
+    assert 2000 < len(body) < 7000 and text["lines"] == body
+    assert page["excerpt"] == page["seen"] and " ".join(body.split()) in page["seen"] and page["seen"].endswith("no")
