@@ -194,7 +194,7 @@ def q_frontier(spark: SparkSession, d: str) -> DataFrame:
     seeds = R.top(e, F.col("at"), F.col("id"), most=40)
     ordered = R.batched(seeds, [F.col("at"), F.col("id")], 1).select(F.col("batch_no").alias("seed"), F.posexplode("qs").alias("pos", "url"))
     known = table(spark, d, "questions").where("deleted_at IS NOT NULL").select(F.col("id").alias("url"))
-    return discovered(ordered, known, 40, 4, 60)
+    return discovered(ordered, known)
 
 
 def q_event_windows(spark: SparkSession, d: str) -> DataFrame:

@@ -213,3 +213,13 @@ def test_long_pages_and_texts_keep_their_tails(spark, tmp_path):
     page, text = (QUERIES[q](spark, str(tmp_path)).first() for q in ("q_whole_page", "q_whole_text"))
     assert 2000 < len(body) < 7000 and text["lines"] == body
     assert page["excerpt"] == page["seen"] and " ".join(body.split()) in page["seen"] and page["seen"].endswith("no")
+
+
+def test_frontier_query_takes_as_many_as_the_reference(spark, tmp_path):
+    from siftloom.plans.record_queries import QUERIES
+
+    pages = [(f"e{k:02}", [f"u{k:02}-{i}" for i in range(30)], dt(2025, 1, 1 + k)) for k in range(18)]
+    spark.createDataFrame(pages, "id STRING, question_ids ARRAY<STRING>, added_at TIMESTAMP_NTZ").write.parquet(f"{tmp_path}/experiences.parquet")
+    spark.createDataFrame([("u00-0", dt(2025, 1, 1))], "id STRING, deleted_at TIMESTAMP_NTZ").write.parquet(f"{tmp_path}/questions.parquet")
+    got = {(r["seed"], r["pos"]) for r in QUERIES["q_frontier"](spark, str(tmp_path)).collect()}
+    assert got == {(k, i) for k in range(15) for i in range(20)} - {(0, 0)} | {(0, 20)}
