@@ -181,7 +181,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, bound: int = ITEMS_BOUND) -> DataFrame:
     """From docs (doc, text) and items (item, text): (doc, item, exact, wide), the longest exact run of letters and digits (run or more) and the longest overlap over single substitutions."""
-    docs, items = docs.dropna().select("doc", "text"), items.dropna().select("item", "text").dropDuplicates(["item", "text"])
+    docs, items = docs.select("doc", "text").dropna(), items.select("item", "text").dropna().dropDuplicates(["item", "text"])
     made = "doc BIGINT, item BIGINT, exact INT, wide INT"
     if (items.agg(F.sum(F.length("text"))).first()[0] or 0) * len(MASKS) <= bound:
         rows = items.collect()  # within the bound just checked

@@ -93,6 +93,14 @@ def test_leaks_as_brute_force(spark, bound):
     assert leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([], "item LONG, text STRING"), bound=bound).count() == 0
 
 
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_leaks_with_nulls_in_other_columns(spark, bound):
+    u = "".join(chr(0x4E00 + k) for k in range(60))
+    docs = spark.createDataFrame([(1, "，" + u, None)], DOCS + ", site STRING")
+    items = spark.createDataFrame([(7, u, None)], "item LONG, text STRING, lang STRING")
+    assert [(r["doc"], r["item"]) for r in leaks(docs, items, bound=bound).collect()] == [(1, 7)]
+
+
 def test_leak_over_a_substitution(spark):
     u = "".join(chr(0x4E00 + k) for k in range(90))
     t = u[:45] + "x" + u[46:]
