@@ -45,7 +45,15 @@ def _mix(spark: SparkSession, d: str, **how: object) -> tuple[DataFrame, DataFra
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     """The chosen documents, each with its repeats and its source's target and actual share: the largest mix of the target shares."""
-    chosen, report = _mix(spark, d, strict=True)
+    return _with_shares(*_mix(spark, d, strict=True))
+
+
+def p8_filled_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen documents of the mix that p8_filled_shares reports, as p8_mix gives its own."""
+    return _with_shares(*_mix(spark, d))
+
+
+def _with_shares(chosen: DataFrame, report: DataFrame) -> DataFrame:
     shares = report.select("source", "target_share", "actual_share")
     return chosen.join(shares, "source").withColumnRenamed("doc", "doc_id")
 
@@ -59,7 +67,7 @@ def p8_filled_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_filled_shares": p8_filled_shares, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_filled_shares": p8_filled_shares, "p8_filled_mix": p8_filled_mix, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
 _WINDOWS = """WITH w AS (SELECT doc_id, length(text) n, unnest(range(1, length(text) - 148)) i, text FROM documents WHERE length(text) >= 150),
   h AS (SELECT doc_id, i, md5(substring(text, i, 150)) h FROM w), d AS (SELECT DISTINCT doc_id, h FROM h), """
 SQL = {

@@ -179,3 +179,19 @@ def test_mix_by_rounds(spark, monkeypatch):
     chosen, report = mix(df, targets, total=total)
     repeats = [r["repeats"] for r in chosen.collect()]
     assert len(repeats) == 300 and sum(r in (2, 3) for r in repeats) > 290 and report.first()["used_tokens"] == total
+
+
+def test_filled_mix_gives_what_its_report_counts(spark, monkeypatch, tmp_path):
+    from siftloom.llm.corpus_queries import QUERIES
+
+    monkeypatch.setattr("siftloom.llm.mixing.token_count", _tokens)
+    rng = random.Random(5)
+    docs = [(k, "x" * rng.randint(1, 200), s) for k, s in enumerate(["big"] * 200 + ["tiny"] * 3)]
+    spark.createDataFrame(docs, "doc_id LONG, text STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("big", 0.5, 1), ("tiny", 0.5, 4)], "source STRING, target_share DOUBLE, max_repeats INT").write.parquet(f"{tmp_path}/mixtargets.parquet")
+    used = {}
+    for r in QUERIES["p8_filled_mix"](spark, str(tmp_path)).collect():
+        used[r["source"]] = used.get(r["source"], 0) + r["tokens"] * r["repeats"]
+    report = {r["source"]: r for r in QUERIES["p8_filled_shares"](spark, str(tmp_path)).collect()}
+    assert used == {s: r["used_tokens"] for s, r in report.items()}
+    assert used["tiny"] == 4 * report["tiny"]["available"] and used["big"] == report["big"]["budget"]
