@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import table
-from .history import known_rows
-from .near_duplicates import near_duplicates, pairs_of
+from .history import History, accept_batch, known_rows
+from .near_duplicates import classes_of, near_duplicates, pairs_of
 from .text_queries import titles
 
 TABLES = ("questions", "review")
@@ -17,16 +17,39 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
     return titles(spark, d, *TABLES).select(part, "id", "title")
 
 
+def _table_name() -> Column:
+    return F.when(F.col("part") == 0, TABLES[0]).otherwise(TABLES[1]).alias("tbl")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    found = pairs_of(*near_duplicates(_rows(spark, d)))
-    return found.select(F.when(F.col("part") == 0, TABLES[0]).otherwise(TABLES[1]).alias("tbl"), "id_lo", "id_hi")
+    return pairs_of(*near_duplicates(_rows(spark, d))).select(_table_name(), "id_lo", "id_hi")
+
+
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    """One row per id: its class of equal forms, the ids in it, and the classes similar to it."""
+    return classes_of(*near_duplicates(_rows(spark, d))).select(_table_name(), "id", "class_id", "members", "links")
+
+
+def _new(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "review").select(F.col("review_id").alias("id"), "title", F.col("batch_no").alias("batch"), F.col("arrived_at").alias("at"))
+
+
+def _old(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "questions").select("id", "title", F.col("added_at").alias("since"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    new = table(spark, d, "review").select(F.col("review_id").alias("id"), "title", F.col("batch_no").alias("batch"), F.col("arrived_at").alias("at"))
-    old = table(spark, d, "questions").select("id", "title", F.col("added_at").alias("since"))
-    return known_rows(new, old).select(F.col("id").alias("review_id"))
+    return known_rows(_new(spark, d), _old(spark, d)).select(F.col("id").alias("review_id"))
+
+
+def p5_last_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The known rows of the last batch alone, delivered to the kept history of all before it."""
+    new, old = _new(spark, d), _old(spark, d)
+    last = new.agg(F.max("batch")).first()[0]
+    _, kept = accept_batch(History(), new.where(F.col("batch") < F.lit(last)), old)
+    known, _ = accept_batch(kept, new.where(F.col("batch") == F.lit(last)), old.limit(0))
+    return known.select(F.col("id").alias("review_id"))
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found}
+QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p5_found": p5_found, "p5_last_batch": p5_last_batch}
 SQL: dict[str, str] = {}

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable
+from functools import partial
 
 import pandas as pd
 import pyarrow as pa
@@ -20,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from .chars import Table
+
 # Letters that look the same as the Latin letters below them.
 _ALIKE = (
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧον", "ABEZHIKMNOPTYXov"),  # Greek
@@ -69,11 +72,18 @@ def unify_one(s: str, fold: bool = True) -> str:
     return unicodedata.normalize("NFC", s.casefold()) if fold else s
 
 
-def per_distinct(values: pd.Series, f: Callable[[str], object], kind: pa.DataType) -> pd.Series:
-    """f of each value, called once per distinct non-null value of the batch."""
+def of_distinct(values: pd.Series, f: Callable[[list[str]], list[str]]) -> pd.Series:
+    """f of the distinct non-null values of the batch, given all together."""
     coded = pc.dictionary_encode(pa.Array.from_pandas(values, type=pa.string()))
-    made = pa.array([f(v) for v in coded.dictionary.to_pylist()], kind)
-    return made.take(coded.indices).to_pandas()
+    return pa.array(f(coded.dictionary.to_pylist()), pa.string()).take(coded.indices).to_pandas()
+
+
+_TABLES = {fold: Table(partial(unify_one, fold=fold), blanks=True) for fold in (False, True)}
+
+
+def unify_all(texts: list[str], fold: bool = True) -> list[str]:
+    """The form of each text."""
+    return _TABLES[fold].texts(texts)
 
 
 def unify(text: Column, fold: bool = True) -> Column:
@@ -81,7 +91,7 @@ def unify(text: Column, fold: bool = True) -> Column:
 
     @F.pandas_udf(StringType())
     def form(values: pd.Series) -> pd.Series:
-        return per_distinct(values, lambda s: unify_one(s, fold), pa.string())
+        return of_distinct(values, lambda texts: unify_all(texts, fold))
 
     return form(text)
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
+from .chars import Table, code_points
 from .looks import unify_one
 
 SIM = 0.7
@@ -60,10 +61,12 @@ def multipliers(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
-def code_points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All code points of the texts as one array, and each text's length."""
-    joined = "".join(texts).encode("utf-32-le", "surrogatepass")
-    return np.frombuffer(joined, dtype="<u4"), np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+_FORMS = Table(letters_form)
+
+
+def letters_forms(titles: list[str]) -> list[str]:
+    """letters_form of each title."""
+    return _FORMS.texts(titles)
 
 
 class Batch:
@@ -98,13 +101,45 @@ class Batch:
                 h[h == np.repeat(out[:, k], self.sizes)] = top
         return out
 
-    def bits(self, n: int, seed: int) -> list[np.ndarray]:
-        """n bits a text, as words of 32: each from the smallest hash of one view."""
-        words = []
-        for w in range(n // 32):
-            word = np.zeros(len(self.rows), np.uint64)
-            for m in multipliers(32, seed + w):
-                low = np.minimum.reduceat(self.h * m, self.starts) if len(self.h) else word
-                word = word << np.uint64(1) | (mix(low) >> np.uint64(63))
-            words.append(word.astype(np.int64))
-        return words
+    def within(self) -> np.ndarray:
+        """The place of each hash among its text's, which stand in ascending order."""
+        return np.arange(len(self.h)) - np.repeat(self.starts, self.sizes)
+
+    def parity(self) -> np.ndarray:
+        """64 bits a text: bit k tells whether an odd number of its pieces fall on k. Two texts differ in no more bits than pieces."""
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.h >> np.uint64(58)), self.starts) if len(self.h) else np.empty(0, np.uint64)
+
+
+def may_be_similar(bits: np.ndarray, other_bits: np.ndarray, size: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """False only for texts that can't reach SIM: by their numbers of pieces, or as more bits of their parities differ than pieces may."""
+    small, large = np.minimum(size, other), np.maximum(size, other)
+    return (small >= SIM * large - 1e-9) & (np.bitwise_count(bits ^ other_bits) <= (1 - SIM) / (1 + SIM) * (small + large) + 1e-9)
+
+
+def jaccard(a: Sequence[str], b: Sequence[str], least: int | None = None) -> np.ndarray:
+    """Shared pieces over all pieces, pair by pair, or with ``least`` over the so many smallest hashes of the two sketches' union.
+
+    The hash of a piece is one-to-one, so without ``least`` the result is exact. Equal forms are 1.
+    """
+    n = len(a)
+    x, y = Batch(a), Batch(b)
+    pair = np.concatenate((np.repeat(x.rows, x.sizes), np.repeat(y.rows, y.sizes)))
+    h = np.concatenate((x.h, y.h))
+    if least is not None:
+        keep = np.concatenate((x.within(), y.within())) < least
+        pair, h = pair[keep], h[keep]
+    order = np.lexsort((h, pair))
+    pair, h = pair[order], h[order]
+    again = np.zeros(len(h), bool)
+    again[1:] = (h[1:] == h[:-1]) & (pair[1:] == pair[:-1])
+    first = np.flatnonzero(~again)
+    both = np.zeros(len(first), bool)
+    both[np.cumsum(~again)[again] - 1] = True
+    pair = pair[first]
+    if least is not None:
+        _, start, size = np.unique(pair, return_index=True, return_counts=True)
+        keep = np.arange(len(pair)) - np.repeat(start, size) < least
+        pair, both = pair[keep], both[keep]
+    shared, union = np.bincount(pair[both], minlength=n), np.bincount(pair, minlength=n)
+    same = np.fromiter((p == q for p, q in zip(a, b)), bool, n)
+    return np.where(same, 1.0, shared / np.maximum(union, 1))

@@ -3,14 +3,17 @@ from __future__ import annotations
 import random
 from datetime import datetime as dt, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import siftloom.llm.history as history
-from siftloom.llm.history import History, accept_batch, add_run, entries, known_rows, merge_runs
-from siftloom.llm.looks import look_alike_pairs, unify, unify_one
-from siftloom.llm.near_duplicates import near_duplicates, pairs_of
-from siftloom.llm.sketches import letters_form, similarity
+import siftloom.llm.near_duplicates as near_duplicates_module
+from siftloom.llm.chars import Table
+from siftloom.llm.history import History, Page, accept_batch, add_run, depth_of, entries, known_rows, merge_runs, probe
+from siftloom.llm.looks import look_alike_pairs, unify, unify_all, unify_one
+from siftloom.llm.near_duplicates import classes_of, near_duplicates, overlaps, pairs_of, postings
+from siftloom.llm.sketches import Batch, jaccard, letters_form, letters_forms, may_be_similar, similarity
 
 
 @pytest.mark.parametrize(
@@ -91,9 +94,10 @@ def brute_known(new, old):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 400])
-def test_known_rows_as_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(history, "HOT", hot)
+@pytest.mark.parametrize(("near", "crowded"), [(2, 40), (64, 4_000_000)])
+def test_known_rows_as_brute_force(spark, monkeypatch, near, crowded):
+    monkeypatch.setattr(history, "NEAR", near)
+    monkeypatch.setattr(history, "CROWDED", crowded)
     rng, day = random.Random(7), dt(2025, 1, 1)
     ts = _titles(3, 30)
     new = [(f"r{k % 110}", ts[k % 110], rng.randint(1, 6), day + timedelta(days=rng.randint(0, 60))) for k in range(120)] + [("rn", None, 3, day), ("rn", None, 4, day)]
@@ -114,14 +118,19 @@ def test_runs_merge_to_the_same_entries(spark):
     held = entries(rows)
     one = add_run(held)
     parts = [add_run(held.where(F.col("rep") % 2 == k)) for k in (0, 1)]
-    both = spark.table(merge_runs(spark, parts))
-    assert both.exceptAll(spark.table(one)).count() == 0 and spark.table(one).count() == both.count()
+
+    def postings(path):
+        rows = spark.read.parquet(path).collect()
+        assert all(p["lo"] == k[0] and p["hi"] == k[-1] and (k[1:] >= k[:-1]).all() for p in rows for k in [Page.read(p.asDict()).keys])
+        return sorted((p["tree"], *x) for p in rows for x in zip(*(c.tolist() for c in Page.read(p.asDict()))))
+
+    assert postings(merge_runs(spark, parts)) == postings(one)
 
 
 @pytest.mark.parametrize("most", [1, 8])
 def test_batches_one_by_one_as_brute_force(spark, monkeypatch, most):
     monkeypatch.setattr(history, "MOST_RUNS", most)
-    monkeypatch.setattr(history, "HOT", 5)
+    monkeypatch.setattr(history, "NEAR", 5)
     rng, day = random.Random(11), dt(2025, 1, 1)
     ts = _titles(4, 12)
     # A near-copy of each text comes first in a later batch, as a run's first entries, where numbers of one run alone would be equal.
@@ -136,5 +145,69 @@ def test_batches_one_by_one_as_brute_force(spark, monkeypatch, most):
         got |= {r[0] for r in known.collect()}
         assert len(now.runs) <= most
     assert got == brute_known(new, old) == {r[0] for r in known_rows(a, b).collect()}
-    held = spark.table(now.entries[0]) if most == 1 else spark.table(now.entries[0]).unionByName(spark.table(now.entries[1])).unionByName(spark.table(now.entries[2])).unionByName(spark.table(now.entries[3]))
+    held = spark.read.parquet(*now.entries)
     assert held.select("rep").distinct().count() == held.count() == held.select("form").distinct().count()
+
+
+def test_forms_of_many_texts_as_of_each():
+    rng = random.Random(9)
+    odd = "éΣς𝛴각각́²①ΐﬁ㎏ 　\t\u200bİßАⅣ゙か"
+    texts = ["".join(rng.choice(odd) if rng.random() < 0.5 else rng.choice("ab题目 ") for _ in range(rng.randint(0, 9))) for _ in range(3000)] + [c for c in map(chr, range(0x3000))]
+    for fold in (False, True):
+        assert unify_all(texts, fold) == [unify_one(t, fold) for t in texts]
+    assert letters_forms(texts) == [letters_form(t) for t in texts]
+    assert Table(str.lower).texts([]) == []
+
+
+def test_similarity_by_arrays_as_by_sets():
+    ts = [letters_form(t) for t in _titles(8, 40)] + ["", "字", "字字", "字字字", "aa", "aaa"]
+    rng = random.Random(3)
+    a, b = [rng.choice(ts) for _ in range(2000)], [rng.choice(ts) for _ in range(2000)]
+    want = np.array([similarity(x, y) for x, y in zip(a, b)])
+    assert np.allclose(jaccard(a, b), want)
+    x, y = Batch(ts), {}
+    size, bits = dict(zip(x.rows.tolist(), x.sizes.tolist())), dict(zip(x.rows.tolist(), x.parity()))
+    for i in size:
+        for j in size:
+            y[i, j] = may_be_similar(bits[i], bits[j], np.int64(size[i]), np.int64(size[j])) or similarity(ts[i], ts[j]) < 0.7
+    assert all(y.values())
+
+
+@pytest.mark.parametrize("long", [3, 32])
+def test_lists_meet_all_similar_texts(long):
+    forms = sorted({letters_form(t) for t in _titles(12, 150)} - {""})
+    text, key, tail, bits = postings(forms, np.zeros(len(forms), np.int64))
+    o = np.lexsort((tail, key))
+    got = set(zip(*(x.tolist() for x in overlaps(key[o], tail[o], text[o], bits[o], long))))
+    want = {(i, j) for j, b in enumerate(forms) for i, a in enumerate(forms[:j]) if similarity(a, b) >= 0.7}
+    assert len(want - got) <= (0 if long > 3 else 0.01 * len(want))
+
+
+def test_heavy_lists_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates_module, "SAMPLE", 1)
+    monkeypatch.setattr(near_duplicates_module, "HEAVY", 5)
+    rows = [(0, f"i{k:04}", t) for k, t in enumerate(_titles(2, 40))]
+    got = {tuple(r) for r in pairs_of(*near_duplicates(spark.createDataFrame(rows, "part LONG, id STRING, title STRING"))).collect()}
+    want = brute_pairs(rows)
+    assert got <= want and len(got) >= 0.99 * len(want)
+
+
+def test_classes(spark):
+    long = "如何估算以太网从机模式的余量并解释硬件原因"
+    rows = [(0, "a", long), (0, "b", long + "？"), (0, "c", long + "呢"), (0, "d", "别的"), (1, "a", long), (0, "a", long)]
+    got = classes_of(*near_duplicates(spark.createDataFrame(rows, "part LONG, id STRING, title STRING")))
+    assert sorted(map(tuple, got.collect())) == [(0, "a", "a", 2, 1), (0, "b", "a", 2, 1), (0, "c", "c", 1, 1), (0, "d", "d", 1, 0), (1, "a", "a", 1, 0)]
+
+
+def test_only_ranges_asked_are_looked_at(monkeypatch):
+    """A probe looks at no posting outside the prefix ranges of the entries that ask."""
+    rng = np.random.default_rng(1)
+    page = lambda n, first: Page(np.sort(rng.integers(0, 1 << 48, n, dtype=np.uint64)), np.arange(first, first + n), np.zeros(n, np.uint64), np.full(n, 47, np.int32))
+    q, h = page(50, 0), page(5000, 1000)
+    shift = np.uint64(8 * (6 - int(depth_of(np.array([47]))[0])))
+    looked = []
+    monkeypatch.setattr(history, "may_be_similar", lambda a, b, c, d: looked.append(len(a)) or np.ones(len(a), bool))
+    h = Page(np.sort(np.concatenate((h.keys, q.keys[:5], q.keys[:5] + np.uint64(1)))), np.arange(1000, 6010), np.zeros(5010, np.uint64), np.full(5010, 47, np.int32))
+    rep, with_, more = probe(q, h, False)
+    assert sum(looked) == sum(int((h.keys >> shift == k >> shift).sum()) for k in q.keys) and len(more) == 0
+    assert set(zip(rep, with_)) == {(i, j) for i, k in zip(q.reps, q.keys) for j, u in zip(h.reps, h.keys) if u >> shift == k >> shift}
