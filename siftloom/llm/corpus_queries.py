@@ -44,13 +44,13 @@ def _mix(spark: SparkSession, d: str, **how: object) -> tuple[DataFrame, DataFra
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
-    """The chosen documents, each with its repeats and its source's target and actual share: the largest mix of the target shares."""
-    return _with_shares(*_mix(spark, d, strict=True))
+    """The chosen documents, each with its repeats and its source's target and actual share: as many tokens as all sources with a target have; a source that is too small falls short."""
+    return _with_shares(*_mix(spark, d))
 
 
-def p8_filled_mix(spark: SparkSession, d: str) -> DataFrame:
-    """The chosen documents of the mix that p8_filled_shares reports, as p8_mix gives its own."""
-    return _with_shares(*_mix(spark, d))
+def p8_largest_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The same of the largest mix in which every source that has documents reaches its share."""
+    return _with_shares(*_mix(spark, d, strict=True))
 
 
 def _with_shares(chosen: DataFrame, report: DataFrame) -> DataFrame:
@@ -59,15 +59,15 @@ def _with_shares(chosen: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return _mix(spark, d, strict=True)[1]
+    """The report of p8_mix: target and actual share of each source, and what it falls short of."""
+    return _mix(spark, d)[1]
 
 
-def p8_filled_shares(spark: SparkSession, d: str) -> DataFrame:
-    """As many tokens as all sources with a target have; sources that are too small fall short of their shares."""
-    return _mix(spark, d)[1]
+def p8_largest_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d, strict=True)[1]
 
 
-QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_filled_shares": p8_filled_shares, "p8_filled_mix": p8_filled_mix, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_largest_mix": p8_largest_mix, "p8_largest_shares": p8_largest_shares, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
 _WINDOWS = """WITH w AS (SELECT doc_id, length(text) n, unnest(range(1, length(text) - 148)) i, text FROM documents WHERE length(text) >= 150),
   h AS (SELECT doc_id, i, md5(substring(text, i, 150)) h FROM w), d AS (SELECT DISTINCT doc_id, h FROM h), """
 SQL = {

@@ -2,11 +2,11 @@
 
 The corpus is seen twice: once to count each text's tokens, once (the kept counts) to select. A source's documents are
 taken in their seeded order, whatever their lengths, in whole rounds while the budget holds all of them and then one by one
-until a small rest is left. A bounded knapsack over the lengths that are left, exact by token length however many documents
-there are, fits that rest to the token. Where the least rest can't be fitted a larger one is tried, up to REST tokens; a
-budget within REST may be fitted as a whole, so it is met if any subset meets it. Beyond REST a budget may be missed that
-another choice of documents would meet: then the nearest of the tries holds. Which documents of a length are
-taken is by the seeded order too, so equal seeds give equal mixes on any cluster.
+until a small rest is left. A bounded knapsack over all lengths that are left, exact by token length however many documents
+there are, fits that rest to the token. Where the least rest can't be fitted a larger one is tried, up to REST tokens, and
+then a budget of up to WHOLE tokens as a whole, so such a budget is met if any subset meets it. A larger budget may be
+missed that another choice of documents would meet: then the nearest of the tries holds, and the report gives its gap as not proved. Which
+documents of a length are taken is by the seeded order too, so equal seeds give equal mixes on any cluster.
 
 Budgets: ``total`` tokens times the share. A source that is too small gives each of its documents max_repeats times, and the shares
 left open are reported. Without ``total``, the mix is the largest in which every source that has documents reaches its
@@ -32,8 +32,10 @@ from pyspark.sql.types import IntegerType
 from ..session import durable
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
-#: Tokens of a source's budget that are left to the dynamic program, and the most distinct lengths it takes.
-REST, LENGTHS = 40_000, 400
+#: Tokens of a source's budget that are left to the dynamic program, and those of a budget that it fits as a whole where no rest was fitted to the token.
+REST, WHOLE = 40_000, 2_000_000
+#: Steps of the program from one stored state to the next.
+STORED = 64
 #: The rests that are tried, the least first: what the program chooses doesn't follow the seeded order, so it gets as little as it can.
 RESTS = tuple(REST >> k for k in range(6, -1, -1))
 #: Ranks within a length are found in so many slices at least, and in one more for so many documents.
@@ -71,55 +73,58 @@ def counted(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
 
 def fit(lengths: np.ndarray, copies: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded knapsack: how many of each length come nearest to the budget from below, by dynamic programming over sums.
+    """Bounded knapsack: how many of each length come nearest to the budget from below, over all lengths, by dynamic programming over sums.
 
-    For each length in turn, the least number of copies with which each sum is reached from the sums before it.
+    The sums reached are the bits of one number; so many copies of a length are a few steps (1, 2, 4 .. copies at once). Every
+    STORED-th state is kept, and the way back works out those between again.
     """
     budget = int(min(budget, int((lengths * copies).sum())))
-    reach = np.zeros(budget + 1, bool)
-    reach[0] = True
-    used = []
-    for w, c in zip(lengths.tolist(), copies.tolist()):
-        need = np.where(reach, 0, -1).astype(np.int32)
-        if w <= budget:
-            # Rows of equal remainder: each sum not yet reached takes the nearest reached one at most c steps below.
-            wide = -(-(budget + 1) // w) * w
-            grid = np.full(wide, -1, np.int64)
-            grid[: budget + 1][reach] = np.flatnonzero(reach) // w
-            last = np.maximum.accumulate(grid.reshape(-1, w), axis=0).ravel()[: budget + 1]
-            steps = np.arange(budget + 1) // w - last
-            ok = (last >= 0) & (steps <= c)
-            need = np.where(ok, steps, -1).astype(np.int32)
-            reach = reach | ok
-        used.append(need)
-        if reach[budget]:
+    steps = []
+    for k, (w, c) in enumerate(zip(lengths.tolist(), copies.tolist())):
+        c, n = min(c, budget // w), 1
+        while c > 0:
+            steps.append((k, min(n, c), w * min(n, c)))
+            c -= n
+            n *= 2
+    mask, reach, states = (1 << budget + 1) - 1, 1, []
+    for i, (_, _, by) in enumerate(steps):
+        if i % STORED == 0:
+            states.append(reach)
+        reach |= reach << by & mask
+        if reach >> budget & 1:
+            steps = steps[: i + 1]
             break
-    at, out = int(np.flatnonzero(reach)[-1]), np.zeros(len(lengths), np.int64)
-    for k in range(len(used) - 1, -1, -1):
-        n = int(used[k][at])
-        out[k], at = n, at - n * int(lengths[k])
+    at, out = reach.bit_length() - 1, np.zeros(len(lengths), np.int64)
+    for j in range((len(steps) - 1) // STORED, -1, -1):
+        part, before = steps[j * STORED : (j + 1) * STORED], [states[j]]
+        for _, _, by in part[:-1]:
+            before.append(before[-1] | before[-1] << by & mask)
+        for (k, n, by), had in zip(reversed(part), reversed(before)):
+            if not had >> at & 1:
+                out[k] += n
+                at -= by
     assert at == 0
     return out
 
 
-def _filled(length: np.ndarray, uses: np.ndarray, most: np.ndarray, budget: int) -> np.ndarray:
-    """uses, and what fits the rest of the budget best: by the dynamic program over the lengths with most copies left."""
+def _filled(length: np.ndarray, uses: np.ndarray, most: np.ndarray, budget: int, limit: int) -> np.ndarray:
+    """uses, and what fits the rest of the budget best: by the dynamic program over all lengths that have copies left."""
     uses = uses.copy()
     rest = budget - int((length * uses).sum())
     left = most - uses
-    if rest > 2 * REST:
+    if rest > 2 * limit:
         # The next document in order is longer than the program takes: an even draw from those that it takes, a step of 1 / part.
-        fits = np.where(length <= REST, left, 0)
-        part = min(1.0, (rest - REST) / max(1.0, float((length * fits).sum())))
+        fits = np.where(length <= limit, left, 0)
+        part = min(1.0, (rest - limit) / max(1.0, float((length * fits).sum())))
         drawn = np.diff(np.floor(np.cumsum(fits) * part + 0.5).astype(np.int64), prepend=0)
         for k in np.flatnonzero(drawn):
             m = min(int(drawn[k]), int(left[k]), rest // int(length[k]))
             uses[k] += m
             rest -= m * int(length[k])
         left = most - uses
-    step = np.argsort(-np.minimum(left, rest // np.maximum(length, 1)), kind="stable")[:LENGTHS]
-    step = step[left[step] > 0]
-    uses[step] += fit(length[step], left[step], min(rest, 2 * REST))
+    step = np.argsort(-np.minimum(left, rest // np.maximum(length, 1)), kind="stable")
+    step = step[(left[step] > 0) & (length[step] <= rest)]
+    uses[step] += fit(length[step], left[step], min(rest, 2 * limit))
     return uses
 
 
@@ -138,12 +143,12 @@ def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
         uses = most
     else:
         rounds = n * (budget // int((length * n).sum()))
-        starts = [rounds + held[:, j + 1 :].sum(axis=1) for j in range(len(RESTS))]
-        if budget <= REST:
-            starts.append(np.zeros_like(n))
+        starts = [(rounds + held[:, j + 1 :].sum(axis=1), REST) for j in range(len(RESTS))]
+        if budget <= WHOLE:
+            starts.append((np.zeros_like(n), budget))
         uses = None
-        for start in starts:
-            got = _filled(length, start, most, budget)
+        for start, limit in starts:
+            got = _filled(length, start, most, budget, limit)
             if uses is None or int((length * got).sum()) > int((length * uses).sum()):
                 uses = got
             if int((length * uses).sum()) == budget:
@@ -166,7 +171,7 @@ def budgets(tokens: DataFrame, targets: DataFrame, total: int | None, strict: bo
 
 
 def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, strict: bool = False, seed: int = 42, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
-    """The chosen documents (doc, source, tokens, repeats), and the report (source, target_share, budget, n_docs, available, chosen, used_tokens, actual_share, most_repeats)."""
+    """The chosen documents (doc, source, tokens, repeats), and the report (source, target_share, budget, n_docs, available, chosen, used_tokens, actual_share, most_repeats, gap, gap_is_least)."""
     tokens = counted(docs, tokenizer)
     plan = budgets(tokens, targets, total, strict)
     tokens = tokens.join(plan.select("source"), "source", "left_semi")
@@ -199,4 +204,8 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, strict: b
     got = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("chosen"), F.sum(F.col("tokens").cast("long") * F.col("repeats")).alias("used_tokens"), F.max("repeats").alias("most_repeats"))
     report = plan.join(got, "source", "left").fillna(0)
     share = F.col("used_tokens") / F.sum("used_tokens").over(Window.partitionBy(F.lit(0)))  # one row per target
-    return chosen, report.select("source", F.col("share").alias("target_share"), "budget", "n_docs", "available", "chosen", "used_tokens", F.coalesce(share, F.lit(0.0)).alias("actual_share"), "most_repeats")
+    gap = F.col("budget") - F.col("used_tokens")
+    least = (gap == 0) | (F.col("budget") <= WHOLE) | (F.col("available") * F.col("max_repeats") <= F.col("budget"))
+    return chosen, report.select(
+        "source", F.col("share").alias("target_share"), "budget", "n_docs", "available", "chosen", "used_tokens", F.coalesce(share, F.lit(0.0)).alias("actual_share"), "most_repeats", gap.alias("gap"), least.alias("gap_is_least")
+    )

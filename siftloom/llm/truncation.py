@@ -63,11 +63,16 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
     return rows.where("d IS NOT NULL AND c <> '\n'").groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.expr(f"count_if(d IN {_END})").alias("ends"))
 
 
-def _body(text: Column) -> Column:
-    """The text without what was put after its break. The pattern sees the last characters, and all of a text only if these fall away altogether."""
-    whole = F.rtrim(text, F.lit(_SPACES))
+def _body(whole: Column) -> Column:
+    """The text, without blanks at its end, without what was put after its break. The pattern sees the last characters, and all of a text only if these fall away altogether.
+
+    It is tried only where the text's end can be the end of such a mark: a bracket, dots, a broken character, or a tag begun shortly before.
+    """
+    end = F.right(whole, F.lit(1))
+    may = end.isin("）", ")", "]", "…", "\ufffd") | whole.endswith("..") | F.contains(F.right(whole, F.lit(44)), F.lit("<")) | end.rlike(r"\s")
     tail = F.regexp_replace(F.right(whole, F.lit(TAIL)), _AFTER, "")
-    return F.when(F.length(whole) <= TAIL, tail).when(tail != "", F.concat(F.left(whole, F.length(whole) - TAIL), tail)).otherwise(F.regexp_replace(whole, _AFTER, ""))
+    bare = F.when(F.length(whole) <= TAIL, tail).when(tail != "", F.concat(F.left(whole, F.length(whole) - TAIL), tail)).otherwise(F.regexp_replace(whole, _AFTER, ""))
+    return F.when(may, bare).otherwise(whole)
 
 
 def _last_tokens(body: Column) -> Column:
@@ -80,8 +85,9 @@ def _last_tokens(body: Column) -> Column:
 def _first_look() -> Column:
     """cut, whole, none or doubt of (text, body, last) from the form of the end alone."""
     text, body, last = F.col("text"), F.col("body"), F.col("last")
-    n = lambda c: F.length(last) - F.length(F.replace(last, F.lit(c), F.lit("")))
-    is_open = (n("`") % 2 == 1) | (n("（") > n("）")) | (n("(") > n(")")) | (n("【") > n("】")) | (n("《") > n("》"))
+    n = lambda c, t: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
+    more = lambda a, b: F.contains(body, F.lit(a)) & (n(a, body) > n(b, body))
+    is_open = (n("`", last) % 2 == 1) | more("（", "）") | more("【", "】") | more("《", "》") | (n("(", last) > n(")", last)) | more("(", ")")
     fences = (F.length(body) - F.length(F.replace(body, F.lit("```"), F.lit("")))) / 3
     bare = F.regexp_replace(F.lower(F.trim(text)), r"[^\p{L}\p{N}]", "")
     return (
@@ -101,23 +107,25 @@ def truncated(rows: DataFrame, more: DataFrame) -> DataFrame:
     """From rows (key..., grp, text) and further whole texts (text) to count: (key..., grp, cut BOOLEAN), one row per text."""
     keys = [c for c in rows.columns if c != "text"]
     rows = durable(rows.where("text IS NOT NULL").distinct(), "texts")
-    ends = rows.withColumn("body", _body(F.col("text"))).withColumn("last", F.substring_index("body", "\n", -1)).withColumn("look", _first_look())
+    ends = rows.withColumn("whole", F.rtrim("text", F.lit(_SPACES))).withColumn("body", _body(F.col("whole"))).withColumn("last", F.substring_index("body", "\n", -1)).withColumn("look", _first_look())
     looked = ends.select(
         *keys, "look", F.when(F.col("look") == "doubt", _last_tokens(F.col("body"))).alias("t"),
-        F.col("last").rlike(_ITEM).alias("item"), (F.col("body") != F.rtrim("text", F.lit(_SPACES))).alias("after"),
+        F.col("last").rlike(_ITEM).alias("item"), (F.col("body") != F.col("whole")).alias("after"),
     )
     looked = durable(looked, "looked")
     last = lambda k: F.try_element_at("t", F.lit(-k))
     doubt = looked.where("look = 'doubt'").select(*keys, "item", "after", last(3).alias("a"), last(2).alias("b"), last(1).alias("c"))
-    counts = durable(trigram_counts(rows.select("text").unionByName(more.where("text IS NOT NULL").select(F.concat("text", F.lit("\n")).alias("text")))), "trigrams")
+    # Counted, so that a text is taken apart once however many records have it.
+    more = more.where("text IS NOT NULL").groupBy("text").agg(F.count(F.lit(1)).alias("times")).where("times > 0").select("text")
+    counts = durable(trigram_counts(rows.select("text").unionByName(more.select(F.concat("text", F.lit("\n")).alias("text")))), "trigrams")
     two = counts.groupBy("b", "c").agg(F.sum("n").alias("n2"), F.sum("ends").alias("ends2"))
     one = counts.groupBy("c").agg(F.sum("n").alias("n1"), F.sum("ends").alias("ends1"))
     three = counts.withColumnsRenamed({"n": "n3", "ends": "ends3"})
     # A text that something was put after has counted its own last trigram as an end.
     own = F.when(F.col("after"), 1).otherwise(0)
     part_of = lambda k: F.when(F.col(f"n{k}") - own >= SUPPORT, (F.col(f"ends{k}") - own) / (F.col(f"n{k}") - own))
-    closed = _last_tokens(F.col("text"))
-    closings = more.where("text IS NOT NULL").select(*(F.try_element_at(closed, F.lit(-k)).alias(x) for k, x in ((3, "a"), (2, "b"), (1, "c")))).distinct().withColumn("closing", F.lit(True))
+    closed = more.select(_last_tokens(F.col("text")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("times"))
+    closings = closed.select(last(3).alias("a"), last(2).alias("b"), last(1).alias("c"), (F.col("times") > 0).alias("closing"))
     part = doubt.join(three, ["a", "b", "c"], "left").join(two, ["b", "c"], "left").join(one, "c", "left").join(closings, ["a", "b", "c"], "left")
     part = durable(part.select(*doubt.columns, F.coalesce(part_of(3), part_of(2), part_of(1)).alias("part"), F.coalesce("closing", F.lit(False)).alias("closing")), "ends")
     bare = part.where((F.col("part") >= SURE) & ~F.col("item") & ~F.col("after")).groupBy("grp").agg(F.count(F.lit(1)).alias("bare"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,7 +182,7 @@ def test_mix_by_rounds(spark, monkeypatch):
     assert len(repeats) == 300 and sum(r in (2, 3) for r in repeats) > 290 and report.first()["used_tokens"] == total
 
 
-def test_filled_mix_gives_what_its_report_counts(spark, monkeypatch, tmp_path):
+def test_mix_gives_what_its_report_counts(spark, monkeypatch, tmp_path):
     from siftloom.llm.corpus_queries import QUERIES
 
     monkeypatch.setattr("siftloom.llm.mixing.token_count", _tokens)
@@ -190,8 +191,28 @@ def test_filled_mix_gives_what_its_report_counts(spark, monkeypatch, tmp_path):
     spark.createDataFrame(docs, "doc_id LONG, text STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([("big", 0.5, 1), ("tiny", 0.5, 4)], "source STRING, target_share DOUBLE, max_repeats INT").write.parquet(f"{tmp_path}/mixtargets.parquet")
     used = {}
-    for r in QUERIES["p8_filled_mix"](spark, str(tmp_path)).collect():
+    for r in QUERIES["p8_mix"](spark, str(tmp_path)).collect():
         used[r["source"]] = used.get(r["source"], 0) + r["tokens"] * r["repeats"]
-    report = {r["source"]: r for r in QUERIES["p8_filled_shares"](spark, str(tmp_path)).collect()}
+    report = {r["source"]: r for r in QUERIES["p8_shares"](spark, str(tmp_path)).collect()}
     assert used == {s: r["used_tokens"] for s, r in report.items()}
     assert used["tiny"] == 4 * report["tiny"]["available"] and used["big"] == report["big"]["budget"]
+
+
+def test_fit_over_all_lengths():
+    """More lengths than a short list would hold, and a budget that only one odd length among many even ones meets."""
+    from siftloom.llm.mixing import _plan
+
+    lengths = [*range(2, 1201, 2), 1201]
+    pdf = pd.DataFrame({"source": "s", "tokens": lengths, "level": [k % 8 for k in range(len(lengths))], "n": 1, "budget": 64_701, "max_repeats": 1})
+    got = _plan(pdf)
+    assert int((got["tokens"] * got["uses"]).sum()) == 64_701 and got["uses"].max() == 1
+    rng = random.Random(4)
+    for _ in range(10):
+        budget = rng.randrange(40_001, 120_001, 2)
+        got = _plan(pdf.assign(budget=budget, level=[rng.randrange(8) for _ in lengths]))
+        assert int((got["tokens"] * got["uses"]).sum()) == budget
+
+
+def test_fit_keeps_few_states(monkeypatch):
+    monkeypatch.setattr("siftloom.llm.mixing.STORED", 3)
+    test_fit_as_brute_force()
