@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from ..session import durable
 from .chars import Table
 
 # Letters that look the same as the Latin letters below them.
@@ -96,18 +97,37 @@ def unify(text: Column, fold: bool = True) -> Column:
     return form(text)
 
 
+def formed(rows: DataFrame) -> DataFrame:
+    """Distinct (tbl, id, title, form) of rows (tbl, id, title), each distinct title worked on once. Kept in the shared folder."""
+    titles = rows.where("id IS NOT NULL AND title IS NOT NULL").select("tbl", "id", "title").distinct()
+    # Counted, so that the forms are worked out after titles of many rows have become one.
+    forms = titles.groupBy("title").agg(F.count(F.lit(1)).alias("n")).where("n > 0").select("title", unify(F.col("title"), fold=False).alias("form"))
+    return durable(titles.join(forms, "title").select("tbl", "id", "title", "form"), "titles")
+
+
+def mixed_forms(titles: DataFrame) -> DataFrame:
+    """(tbl, form) that more than one spelling has."""
+    return titles.groupBy("tbl", "form").agg(F.min("title").alias("a"), F.max("title").alias("z")).where("a <> z").select("tbl", "form")
+
+
 def look_alike_pairs(rows: DataFrame) -> DataFrame:
     """From (tbl, id, title): (tbl, id_lo, id_hi) of different ids whose titles differ but look the same.
 
     Forms with a single spelling drop out by a pre-aggregated count before any pair is built, so a group of exact copies,
     however large, never meets itself.
     """
-    titles = rows.where("id IS NOT NULL AND title IS NOT NULL").select("tbl", "id", "title").distinct().withColumn("form", unify(F.col("title"), fold=False))
-    mixed = titles.groupBy("tbl", "form").agg(F.min("title").alias("a"), F.max("title").alias("z")).where("a <> z").select("tbl", "form")
-    own = titles.join(mixed, ["tbl", "form"])
+    titles = formed(rows)
+    own = titles.join(mixed_forms(titles), ["tbl", "form"])
     lo, hi = own.alias("lo"), own.alias("hi")
     return (
         lo.join(hi, (F.col("lo.tbl") == F.col("hi.tbl")) & (F.col("lo.form") == F.col("hi.form")) & (F.col("lo.id") < F.col("hi.id")) & (F.col("lo.title") != F.col("hi.title")))
         .select("lo.tbl", F.col("lo.id").alias("id_lo"), F.col("hi.id").alias("id_hi"))
         .distinct()
     )
+
+
+def look_alike_classes(rows: DataFrame) -> DataFrame:
+    """From (tbl, id, title): one row (tbl, id, class_id, spelling, spellings, ids) per id and spelling of a form that has more than one; class_id is the form's least id. No pairs are built."""
+    titles = formed(rows)
+    sizes = titles.join(mixed_forms(titles), ["tbl", "form"]).groupBy("tbl", "form").agg(F.min("id").alias("class_id"), F.count_distinct("title").alias("spellings"), F.count_distinct("id").alias("ids"))
+    return titles.join(sizes, ["tbl", "form"]).select("tbl", "id", "class_id", F.col("title").alias("spelling"), "spellings", "ids")

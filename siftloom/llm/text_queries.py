@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from .looks import look_alike_pairs, unify
+from .looks import look_alike_classes, look_alike_pairs, unify
 
 
 def titles(spark: SparkSession, d: str, *names: str) -> DataFrame:
@@ -27,5 +27,10 @@ def p2_forms(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("tbl", "id", unify(F.col("title"), fold=False).alias("form"), unify(F.col("title")).alias("folded"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms}
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The titles that look like another one of their table, by class."""
+    return look_alike_classes(titles(spark, d, "questions", "sources"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p2_forms": p2_forms}
 SQL: dict[str, str] = {}
