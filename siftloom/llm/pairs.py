@@ -1,8 +1,8 @@
 """Defects of prompt and response pairs: empty, refusal, copy, language (truncated: see truncation).
 
 Response tokens (Han and kana characters, words, numbers) are aligned with those of the prompt, and of refusal
-templates: the containment of their two-token shingles tells which alignments are worth a look, the longest common
-subsequence, computed bit-parallel, decides.
+templates: the containment of their two-token shingles tells which alignments are worth a look and where, the longest
+common subsequence, computed bit-parallel, decides.
 
 Defined cases: a null, blank or invisible response is empty, and so is a placeholder; an empty response has no other
 defect; with a null prompt there is no copy and no language to compare; texts of any length are aligned whole; a record
@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from .looks import unify_one
-from .sketches import letters_form
+from .looks import unify_all, unify_one
+from .sketches import letters_form, letters_forms
 from .truncation import PLACEHOLDERS, truncated
 
 # How answers are declined. Further words between and after these don't matter.
@@ -41,7 +41,7 @@ REFUSALS = (
     "As an AI language model, I am unable to answer this",
     "Unfortunately I cannot provide an answer to this question",
 )
-#: Part of a template that must stand in the response in order; tokens that a refusal may have beyond it.
+#: Part of a template that must stand in the response in order; further tokens that may stand between.
 DECLINED, BEYOND = 0.8, 40
 #: Tokens that a copy may have beyond the prompt's (a lead-in), and the part of the prompt that it must have.
 LEAD, COPIED = 8, 0.6
@@ -59,6 +59,9 @@ _LANG = {w: [k for k, ws in _WORDS.items() if w in ws.split()] for w in {w for w
 _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`|\b\w*(?:_|\d)\w*\b", re.DOTALL)
 _SCRIPTS = (("kana", "぀-ヿㇰ-ㇿ"), ("ko", "가-힣ᄀ-ᇿ"), ("ru", "Ѐ-ӿ"), ("ar", "؀-ۿ"), ("he", "֐-׿"), ("th", "฀-๿"), ("hi", "ऀ-ॿ"), ("el", "Ͱ-Ͽ"))
 _SCRIPT = {k: re.compile(f"[{r}]") for k, r in _SCRIPTS}
+_MAYBE_CODE = re.compile(r"[`_\d]")
+_COMMON = re.compile(r"[\x00-\u02af\u2000-\u206f\u3000-\u303f\u4e00-\u9fff\uff00-\uffef]*")
+_LETTER = re.compile(r"[^\W\d_\u4e00-\u9fff\u3400-\u4dbf]")
 _HAN = re.compile(r"[一-鿿㐀-䶿]")
 _LATIN = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W_぀-ヿ㐀-鿿]+")
@@ -89,40 +92,63 @@ def lcs(a: Sequence[str], b: Sequence[str]) -> int:
 def is_empty(response: str | None) -> bool:
     if response is None:
         return True
-    # Longer texts that have some letters are none of the placeholders, whatever their form.
-    if len(response) > 60 and sum(c.isalnum() for c in response[:60]) > 12:
-        return False
     s = letters_form(response)
     return not s or s in PLACEHOLDERS
 
 
-_TEMPLATES: list[tuple[list[str], set[tuple[str, str]]]] = []
+_TEMPLATES: list[tuple[list[str], set[str], set[tuple[str, str]]]] = []
 
 
-def declines(t: Sequence[str]) -> bool:
+def _templates() -> list[tuple[list[str], set[str], set[tuple[str, str]]]]:
     if not _TEMPLATES:
-        _TEMPLATES.extend((x, shingles(x)) for x in (tokens(unify_one(r, fold=False)) for r in REFUSALS))
-    if len(t) > max(len(x) for x, _ in _TEMPLATES) + BEYOND:
-        return False
-    own = shingles(t)
-    return any(len(t) <= len(x) + BEYOND and 2 * len(s & own) >= len(s) and lcs(x, t) >= DECLINED * len(x) for x, s in _TEMPLATES)
+        _TEMPLATES.extend((x, set(x), shingles(x)) for x in (tokens(unify_one(r, fold=False)) for r in REFUSALS))
+    return _TEMPLATES
+
+
+def declines(t: Sequence[str]) -> bool:
+    """Whether a refusal stands somewhere in the response: most of a template in order, no more than BEYOND further tokens between.
+
+    In a response of any length, the places where the template's shingles stand tell where to align it.
+    """
+    words = set(t)
+    for x, own, s in _templates():
+        # Tokens of the template that the response lacks can't be aligned.
+        if len(own - words) > (1 - DECLINED) * len(x):
+            continue
+        at = [k for k in range(len(t) - 1) if (t[k], t[k + 1]) in s]
+        if 2 * len({(t[k], t[k + 1]) for k in at}) < len(s):
+            continue
+        wide = len(x) + BEYOND
+        if len(t) <= wide:
+            if lcs(x, t) >= DECLINED * len(x):
+                return True
+            continue
+        for k in at:
+            near = t[max(0, k - len(x) // 4) : max(0, k - len(x) // 4) + wide]
+            if 2 * len({y for y in zip(near, near[1:]) if y in s}) >= len(s) and lcs(x, near) >= DECLINED * len(x):
+                return True
+    return False
 
 
 def copies_prompt(p: Sequence[str], t: Sequence[str]) -> bool:
     """All of the response but a lead-in stands in the prompt, and most of the prompt in the response."""
-    own = shingles(p)
-    if not own or len(t) < 4:
+    if len(set(t).difference(p)) > LEAD:
         return False
+    own = shingles(p)
+    if not own:
+        return bool(t) and list(p) == list(t)
     hit = [x in own for x in zip(t, t[1:])]
     new = sum(not (a or b) for a, b in zip([False, *hit], [*hit, False]))
-    return new <= LEAD and 2 * sum(hit) >= len(hit) and lcs(p, t) >= COPIED * len(p)
+    return new <= LEAD and 2 * sum(hit) >= max(len(hit), 1) and lcs(p, t) >= COPIED * len(p)
 
 
 def language(text: str) -> str | None:
     """Of a text in its consistent form: zh, ja, a language of another script, one of _WORDS, ``latin`` when its words don't tell, or None for too little text."""
-    s = _CODE.sub(" ", text)
-    n = {k: len(r.findall(s)) for k, r in _SCRIPT.items()}
-    han, words = len(_HAN.findall(s)), [w.lower() for w in _LATIN.findall(_HAN.sub(" ", s))]
+    s = _CODE.sub(" ", text) if _MAYBE_CODE.search(text) else text
+    # Texts of Han characters, Latin letters and common signs need no look at the other scripts.
+    n = dict.fromkeys(_SCRIPT, 0) if _COMMON.fullmatch(s) else {k: len(r.findall(s)) for k, r in _SCRIPT.items()}
+    han = len(_HAN.findall(s))
+    words = [w.lower() for w in _LATIN.findall(_HAN.sub(" ", s))] if _LETTER.search(s) else []
     most = max(n, key=n.__getitem__)
     if n[most] >= 3 and n[most] >= 0.15 * (han + n[most]) and n[most] >= len(words):
         return "ja" if most == "kana" else most
@@ -146,23 +172,24 @@ def differs(a: str | None, b: str | None) -> bool:
 
 @F.pandas_udf(ArrayType(StringType()))
 def defects_of(prompts: pd.Series, shorts: pd.Series, details: pd.Series) -> pd.Series:
+    texts = sorted({t for column in (prompts, shorts, details) for t in column if t is not None})
+    forms, letters = dict(zip(texts, unify_all(texts, fold=False))), dict(zip(texts, letters_forms(texts)))
+    empty = {t for t, s in letters.items() if not s or s in PLACEHOLDERS}
     out = []
     for prompt, *responses in zip(prompts, shorts, details):
         found = set()
-        prompt = unify_one(prompt, fold=False) if prompt is not None else None
-        p = tokens(prompt) if prompt is not None else []
-        spoken = language(prompt) if prompt is not None else None
+        p = tokens(forms[prompt]) if prompt is not None else []
+        spoken = language(forms[prompt]) if prompt is not None else None
         for r in responses:
-            if is_empty(r):
+            if r is None or r in empty:
                 found.add("empty")
                 continue
-            r = unify_one(r, fold=False)
-            t = tokens(r)
+            t = tokens(forms[r])
             if declines(t):
                 found.add("refusal")
             elif copies_prompt(p, t):
                 found.add("copy")
-            if differs(spoken, language(r)):
+            if differs(spoken, language(forms[r])):
                 found.add("language")
         out.append(sorted(found))
     return pd.Series(out)

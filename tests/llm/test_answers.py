@@ -61,6 +61,27 @@ def test_refusals_and_their_likes():
     assert not any(declines(t(s)) for s in ("抱歉的提示音由DMA空闲检测触发，从机无法应答时要先释放总线，再重新发起起始信号。", "不能直接在中断里等待，否则高优先级任务无法运行。", "", "无"))
 
 
+def test_refusals_of_any_length():
+    t = lambda s: tokens(unify_one(s, fold=False))
+    padding = "另外再补充几句与本题关系不大的背景说明，供您在整理资料时参考使用，"
+    assert declines(t("抱歉，我无法回答这个问题。" + padding * 8))
+    assert declines(t(padding * 8 + "抱歉，我无法回答这个问题。"))
+    # The words of a refusal, spread over a long answer, are none.
+    spread = "".join(w + padding[3 * k % 20 : 3 * k % 20 + 9] for k, w in enumerate("抱歉我无法回答这个问题"))
+    assert not declines(t(spread * 3)) and not declines([])
+
+
+def test_short_copies():
+    t = lambda s: tokens(unify_one(s, fold=False))
+    assert copies_prompt(t("看门狗"), t("看门狗。")) and copies_prompt(t("栈"), t("栈"))
+    assert not copies_prompt(t("栈"), t("堆")) and not copies_prompt([], [])
+
+
+def test_an_open_bracket_of_an_earlier_line(spark):
+    rows = [("open", "g", "总线被占用（例如线缆松动。\n只要线缆松动就会越界。"), ("closed", "g", "总线被占用（例如线缆松动）。\n1) 只要线缆松动就会越界。")]
+    assert _cut(spark, rows) == {"open"}
+
+
 def test_copies():
     t = lambda s: tokens(unify_one(s, fold=False))
     p = "可拆卸水质浮标的以太网从机模式批量中断丢失，如何估算余量？"
