@@ -114,16 +114,23 @@ class Items:
         """(exact run, overlap with single substitutions) around document place p and item place q of one hit."""
         k = int(np.searchsorted(self.ends, q, side="right"))
         s, e = int(self.starts[k]), int(self.ends[k])
-        back, on = min(p - lo, q - s), min(hi - p, e - q)
-        same = tokens[p - back : p + on] == self.tokens[q - back : q + on]
-        # Runs of equal tokens; two runs belong together if one token stands between them.
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
-        a, b = edge[::2], edge[1::2]
-        if not len(a):
-            return 0, 0
-        group = np.concatenate(([0], np.cumsum(a[1:] - b[:-1] > 1)))
-        wide = np.maximum.reduceat(b, np.flatnonzero(np.diff(group, prepend=-1))) - np.minimum.reduceat(a, np.flatnonzero(np.diff(group, prepend=-1)))
-        return int((b - a).max()), int(wide.max())
+        return overlap(tokens[lo:hi], self.tokens[s:e], p - lo, q - s)
+
+
+def overlap(x: np.ndarray, y: np.ndarray, p: int, q: int) -> tuple[int, int]:
+    """(exact run, overlap with single substitutions) of two streams on the diagonal through x[p] and y[q]."""
+    back, on = min(p, q), min(len(x) - p, len(y) - q)
+    if on <= 0:
+        return 0, 0
+    same = x[p - back : p + on] == y[q - back : q + on]
+    # Runs of equal tokens; two runs belong together if one token stands between them.
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
+    a, b = edge[::2], edge[1::2]
+    if not len(a):
+        return 0, 0
+    first = np.flatnonzero(np.concatenate(([True], a[1:] - b[:-1] > 1)))
+    wide = np.maximum.reduceat(b, first) - np.minimum.reduceat(a, first)
+    return int((b - a).max()), int(wide.max())
 
 
 def _scan(ids: list[int], texts: list[str]) -> object:
@@ -161,22 +168,37 @@ def _scan(ids: list[int], texts: list[str]) -> object:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], stride: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, doc, pos): the hashes of each mask and where they stand in the text's stream."""
     streams = Streams()
     for batch in batches:
         ids, bodies = batch.column("doc").to_numpy(), batch.column("text").to_pylist()
         for i, j in blocks(bodies):
             tokens, lens = streams.of(bodies[i:j])
             at = _places(lens, stride)
-            row = np.searchsorted(np.cumsum(lens), at, side="right")
+            ends = np.cumsum(lens)
+            row = np.searchsorted(ends, at, side="right")
+            pos = at - (ends - lens)[row]
             for m in range(len(MASKS)):
-                yield pa.RecordBatch.from_arrays([pa.array(seeds(tokens, at, m).view(np.int64)), pa.array(ids[i:j][row])], ["key", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(seeds(tokens, at, m).view(np.int64)), pa.array(ids[i:j][row]), pa.array(pos)], ["key", "doc", "pos"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc, text, item, other, places) to (doc, item, exact, wide): one comparison for each diagonal with a hit; each text's stream is made once a batch."""
+    streams = Streams()
     for batch in batches:
-        for doc, text, item, other in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "item", "other"))):
-            for out in _scan([item], [other])(iter([pa.RecordBatch.from_pydict({"doc": [doc], "text": [text]})])):
-                yield out
+        if not batch.num_rows:
+            continue
+        docs, texts, items, others, places = (batch.column(c).to_pylist() for c in ("doc", "text", "item", "other", "places"))
+        own = sorted({*texts, *others})
+        tokens, lens = streams.of(own)
+        ends = np.cumsum(lens)
+        stream = {t: tokens[e - n : e] for t, e, n in zip(own, ends.tolist(), lens.tolist())}
+        best = []
+        for text, other, hits in zip(texts, others, places):
+            got = [overlap(stream[text], stream[other], h["p"], h["q"]) for h in hits]
+            best.append((max(g[0] for g in got), max(g[1] for g in got)))
+        exact, wide = zip(*best)
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int64()), pa.array(exact, pa.int32()), pa.array(wide, pa.int32())], ["doc", "item", "exact", "wide"])
 
 
 def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, bound: int = ITEMS_BOUND) -> DataFrame:
@@ -187,8 +209,11 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, bound: int = ITEMS_
         rows = items.collect()  # within the bound just checked
         found = docs.mapInArrow(_scan([r["item"] for r in rows], [r["text"] for r in rows]), made) if rows else docs.sparkSession.createDataFrame([], made)
     else:
-        a = items.select(F.col("item").alias("doc"), "text").mapInArrow(lambda b: _hashed(b, 1), "key BIGINT, doc BIGINT").distinct().withColumnRenamed("doc", "item")
-        b = docs.mapInArrow(lambda b: _hashed(b, STRIDE), "key BIGINT, doc BIGINT").distinct()
-        met = durable(a.join(b, "key").select("doc", "item").distinct(), "met")
+        made_of = "key BIGINT, doc BIGINT, pos BIGINT"
+        a = items.select(F.col("item").alias("doc"), "text").mapInArrow(lambda b: _hashed(b, 1), made_of).select("key", F.col("doc").alias("item"), F.col("pos").alias("q"))
+        b = docs.mapInArrow(lambda b: _hashed(b, STRIDE), made_of).select("key", "doc", F.col("pos").alias("p"))
+        # One place for each document, item and diagonal, then one row for each document and item.
+        met = a.join(b, "key").groupBy("doc", "item", (F.col("p") - F.col("q")).alias("diagonal")).agg(F.min(F.struct("p", "q")).alias("at"))
+        met = durable(met.groupBy("doc", "item").agg(F.collect_list("at").alias("places")), "met")
         found = met.join(docs, "doc").join(items.withColumnRenamed("text", "other"), "item").mapInArrow(_compare, made)
     return found.where(F.col("exact") >= run).groupBy("doc", "item").agg(F.max("exact").alias("exact"), F.max("wide").alias("wide"))
