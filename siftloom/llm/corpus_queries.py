@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import table
 from .leakage import leaks
 from .mixing import mix
-from .spans import shared_part, shared_spans, sharing_pairs
+from .spans import shared_chars, sharing
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -15,12 +15,11 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return sharing_pairs(*shared_spans(_docs(spark, d)))
+    return sharing(_docs(spark, d))
 
 
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
-    docs = _docs(spark, d)
-    return shared_part(docs, *shared_spans(docs)).withColumnRenamed("doc", "doc_id")
+    return shared_chars(_docs(spark, d)).withColumnRenamed("doc", "doc_id")
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import siftloom.llm.spans as spans
 from siftloom.llm.leakage import Streams, leaks
 from siftloom.llm.mixing import fit, mix
-from siftloom.llm.spans import COVER, PERIOD, shared_part, shared_spans, sharing_pairs
+from siftloom.llm.spans import COVER, PERIOD, _windows_of, shared_chars, shared_part, shared_spans, sharing, sharing_pairs
 
 DOCS = "doc LONG, text STRING"
 
@@ -61,7 +61,10 @@ def test_spans_as_brute_force(spark, monkeypatch, hot, sample, heavy):
     pairs, shared = brute_spans(docs)
     assert {tuple(r) for r in sharing_pairs(*found).collect()} == pairs
     got = {r["doc"]: (r["shared"], r["chars"]) for r in shared_part(df, *found).collect()}
-    assert got == {k: (shared[k], len(d)) for k, d in docs} | {99: (0, 0)}
+    want = {k: (shared[k], len(d)) for k, d in docs} | {99: (0, 0)}
+    assert got == want
+    assert {tuple(r) for r in sharing(df).collect()} == pairs
+    assert {r["doc"]: (r["shared"], r["chars"]) for r in shared_chars(df).collect()} == want
 
 
 def test_spans_of_nothing(spark):
@@ -200,19 +203,47 @@ def test_mix_gives_what_its_report_counts(spark, monkeypatch, tmp_path):
 
 def test_fit_over_all_lengths():
     """More lengths than a short list would hold, and a budget that only one odd length among many even ones meets."""
-    from siftloom.llm.mixing import _plan
+    from siftloom.llm.mixing import RESTS, _plan
 
     lengths = [*range(2, 1201, 2), 1201]
-    pdf = pd.DataFrame({"source": "s", "tokens": lengths, "level": [k % 8 for k in range(len(lengths))], "n": 1, "budget": 64_701, "max_repeats": 1})
-    got = _plan(pdf)
-    assert int((got["tokens"] * got["uses"]).sum()) == 64_701 and got["uses"].max() == 1
     rng = random.Random(4)
-    for _ in range(10):
-        budget = rng.randrange(40_001, 120_001, 2)
-        got = _plan(pdf.assign(budget=budget, level=[rng.randrange(8) for _ in lengths]))
-        assert int((got["tokens"] * got["uses"]).sum()) == budget
+    for budget in (64_701, *(rng.randrange(40_001, 120_001, 2) for _ in range(10))):
+        order = rng.sample(lengths, len(lengths))
+        gap = budget - np.cumsum(order)
+        rows = pd.DataFrame({"source": "s", "tokens": order, "level": (gap[:, None] >= np.array(RESTS)).sum(axis=1), "n": 1, "budget": budget, "max_repeats": 1})
+        got = _plan(rows)
+        assert int((got["tokens"] * got["uses"]).sum()) == budget and got["uses"].max() == 1
 
 
 def test_fit_keeps_few_states(monkeypatch):
     monkeypatch.setattr("siftloom.llm.mixing.STORED", 3)
     test_fit_as_brute_force()
+
+
+def test_a_footer_of_all_documents(spark, monkeypatch):
+    """A passage of 300 characters that every document has gives a row a window and document, and one window stands for all of it in the pairs."""
+    monkeypatch.setattr(spans, "HOT", 5)
+    rng = random.Random(3)
+    letters = "天地玄黄宇宙洪荒日月盈昃辰宿列张"
+    footer = "".join(rng.choice(letters) for _ in range(300))
+    docs = [(k, "".join(rng.choice(letters) for _ in range(rng.randint(50, 400))) + footer) for k in range(40)]
+    df = spark.createDataFrame(docs, DOCS)
+    got = {r["doc"]: r["shared"] for r in shared_chars(df).collect()}
+    assert all(300 <= n < 306 for n in got.values()) and len(got) == 40
+    assert sharing(df).count() == 40 * 39 // 2
+    places = spans._hot(spans._anchors_met(spans._different(df, 150)[0], 150))
+    windows = _windows_of(df, places, 150)
+    assert windows.count() < 40 * 300
+    one = spans._hot_pairs(windows)
+    assert one.count() == 40 * 39 // 2
+
+
+def test_repeats_are_covered_whole(spark):
+    """A passage that one text has twice and another once is shared at both places."""
+    rng = random.Random(6)
+    letters = "天地玄黄宇宙洪荒日月盈昃辰宿列张"
+    part = "".join(rng.choice(letters) for _ in range(200))
+    a, b = part + "一" * 31 + part + "二", "三" * 7 + part
+    docs = [(1, a), (2, b), (3, "四" * 1000)]
+    want = brute_spans(docs)[1]
+    assert {r["doc"]: r["shared"] for r in shared_chars(spark.createDataFrame(docs, DOCS)).collect()} == want
