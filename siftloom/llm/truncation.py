@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.web import let
 from ..session import durable
 
 #: A trigram decides from so many occurrences on.
@@ -77,9 +78,8 @@ def _body(whole: Column) -> Column:
 
 def _last_tokens(body: Column) -> Column:
     """The last three tokens; all of a text is taken apart only if its last characters hold no more than three."""
-    near = tokens(F.right(body, F.lit(TAIL)))
-    t = F.when((F.size(near) > 3) | (F.length(body) <= TAIL), near).otherwise(tokens(body))
-    return F.slice(t, F.greatest(F.size(t) - 2, F.lit(1)), F.lit(3))
+    enough = lambda near: F.when((F.size(near) > 3) | (F.length(body) <= TAIL), near).otherwise(tokens(body))
+    return let(let(tokens(F.right(body, F.lit(TAIL))), enough), lambda t: F.slice(t, F.greatest(F.size(t) - 2, F.lit(1)), F.lit(3)))
 
 
 def _first_look() -> Column:
