@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-from .text import bounded, squeeze, without_tags
+from .text import BLANKS, bounded, squeeze, without_tags
 
 # Query parameters that say where a visitor came from.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "spm", "from", "source", "share_token", "tracking_id")
@@ -25,7 +26,9 @@ REJECTED_SUFFIXES = (
 )
 _ADDRESS = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 _HIDDEN = ("script", "style", "noscript", "svg", "canvas", "template")
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"), ("&amp;", "&"))
+_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+# The zones that RFC 2822 has names for.
+_ZONES = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -37,9 +40,14 @@ def _part(url: Column, k: int) -> Column:
     return F.regexp_extract(url, _ADDRESS, k)
 
 
+def _decoded(c: Column) -> Column:
+    """Percent signs that begin no code stand for themselves."""
+    return F.coalesce(F.try_url_decode(F.regexp_replace(c, "%(?![0-9a-fA-F]{2})", "%25")), c)
+
+
 def _encoded(c: Column) -> Column:
-    """Decoded where it can be, then encoded: blanks as plus signs, tilde kept."""
-    plain = F.coalesce(F.try_url_decode(c), c)
+    """Decoded, then encoded: blanks as plus signs, tilde kept."""
+    plain = _decoded(c)
     return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
@@ -47,7 +55,7 @@ def kept_query(query: Column, ignored: Sequence[str] = TRACKING) -> Column:
     """The parameters that stay, in their order and encoded anew; blank values stay."""
     name = lambda p: F.substring_index(p, "=", 1)
     value = lambda p: F.when(F.contains(p, F.lit("=")), F.substring(p, F.length(name(p)) + 2, F.length(p))).otherwise("")
-    own = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.lower(F.coalesce(F.try_url_decode(name(p)), name(p))).isin(*ignored))
+    own = F.filter(F.split(query, "&"), lambda p: (p != "") & ~F.lower(_decoded(name(p))).isin(*ignored))
     return F.array_join(F.transform(own, lambda p: F.concat(_encoded(name(p)), F.lit("="), _encoded(value(p)))), "&")
 
 
@@ -66,7 +74,7 @@ def normal_url(url: Column, ignored: Sequence[str] = TRACKING) -> Column:
         fields = {"scheme": F.lower(_part(u, 1)), "host": F.lower(_part(u, 2)), "path": F.regexp_replace(_part(u, 3), "/{2,}", "/"), "query": kept_query(_part(u, 4), ignored)}
         return let(F.struct(*(v.alias(k) for k, v in fields.items())), whole)
 
-    return let(F.regexp_replace(url, r"^\s+|\s+$", ""), parts)
+    return let(F.regexp_replace(url, rf"^{BLANKS}|{BLANKS}$", ""), parts)
 
 
 def host_of(url: Column) -> Column:
@@ -117,31 +125,75 @@ def safe_link(base: Column, href: Column, domains: Sequence[str]) -> Column:
     return let(url, lambda u: F.when(fine(u), u))
 
 
+def unescaped(c: Column) -> Column:
+    """Character references, by number or by name, as their characters; each once. Numbers of no character become U+FFFD."""
+    names = F.create_map(*(F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, code)), F.lit("apos"), F.lit(39))
+    west = F.array(*(F.lit(ord(bytes([k]).decode("cp1252", "ignore") or chr(k))) for k in range(128, 160)))
+
+    def number(key: Column) -> Column:
+        code = F.when(key.rlike("^#[xX]"), F.conv(F.substring(key, 3, 10), 16, 10)).otherwise(F.substring(key, 2, 10)).cast("int")
+        return let(code, lambda n: F.when(n.between(128, 159), F.element_at(west, n - 127)).when((n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF), n).otherwise(0xFFFD))
+
+    def char(code: Column) -> Column:
+        return F.when(code < 128, F.char(code)).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def piece(p: Column) -> Column:
+        def one(key: Column) -> Column:
+            code = F.when(key.startswith("#"), number(key)).otherwise(F.try_element_at(names, key))
+            return let(code, lambda n: F.when(n.isNotNull(), F.concat(char(n), F.substring(p, F.length(key) + 3, F.length(p)))).otherwise(p))
+
+        return let(F.substring_index(F.substring(p, 2, 40), ";", 1), one)
+
+    def pieces(text: Column) -> Column:
+        parts = F.split(text, f"(?={_ENTITY})")
+        return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(f"^{_ENTITY}"), piece(p)).otherwise(p)), "")
+
+    return let(c, lambda text: F.when(F.contains(text, F.lit("&")), pieces(text)).otherwise(text))
+
+
 def visible_text(html: Column, limit: int) -> Column:
     """What a reader sees of a page: no comments, no scripts and the like, entities decoded, tags as blanks."""
     t = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     for tag in _HIDDEN:
         t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)", " ")
     t = F.regexp_replace(t, r"<[^>]+>", " ")
-    for a, b in _ENTITIES:
-        t = F.replace(t, F.lit(a), F.lit(b))
-    return without_tags(t, limit)
+    return without_tags(unescaped(t), limit)
 
 
 def page_links(html: Column) -> Column:
-    """array<struct<pos, href, anchor>> of a page's closed links in their order, without those marked nofollow; a title stands for an empty anchor."""
+    """array<struct<pos, href, anchor>> of a page's closed links in their order, without those marked nofollow; a title stands for an empty anchor.
+
+    Attribute values may be quoted in either way or bare.
+    """
     found = F.regexp_extract_all(html, F.lit(r"(?is)<a\b((?:(?!<a\b).)*?)</a\s*>"), 1)
-    attr = lambda t, name: F.regexp_extract(F.regexp_extract(t, r"(?s)^([^>]*)>", 1), rf"""(?is)\b{name}\s*=\s*["']([^"']*)["']""", 1)
-    made = F.transform(
-        found,
-        lambda t, k: F.struct(
-            k.alias("pos"),
-            attr(t, "href").alias("href"),
-            F.coalesce(F.nullif(without_tags(F.regexp_replace(t, r"(?s)^[^>]*>", ""), 240), F.lit("")), without_tags(attr(t, "title"), 240)).alias("anchor"),
-            attr(t, "rel").alias("rel"),
-        ),
-    )
-    return F.transform(F.filter(made, lambda x: (x["href"] != "") & ~F.lower(x["rel"]).contains("nofollow")), lambda x: F.struct(x["pos"], x["href"], x["anchor"]))
+
+    def attr(head: Column, name: str) -> Column:
+        pattern = rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+        value = F.concat(*(F.regexp_extract(head, pattern, k) for k in (1, 2, 3)))
+        return F.when(head.rlike(pattern), unescaped(value)).otherwise("")
+
+    def one(t: Column, k: Column) -> Column:
+        def of(head: Column) -> Column:
+            text = unescaped(F.regexp_replace(F.regexp_replace(t, r"(?s)^[^>]*>", ""), "<[^>]+>", " "))
+            anchor = let(without_tags(text, 240), lambda a: F.when(a != "", a).otherwise(without_tags(attr(head, "title"), 240)))
+            return F.struct(k.alias("pos"), attr(head, "href").alias("href"), anchor.alias("anchor"), attr(head, "rel").alias("rel"))
+
+        return let(F.regexp_extract(t, r"(?s)^([^>]*)>", 1), of)
+
+    fine = lambda x: (x["href"] != "") & ~F.lower(x["rel"]).contains("nofollow")
+    return F.transform(F.filter(F.transform(found, one), fine), lambda x: F.struct(x["pos"], x["href"], x["anchor"]))
+
+
+def content_links(html: Column, page: Column, domains: Sequence[str]) -> Column:
+    """array<struct<pos, url, anchor>>: a page's links to content of the domains, each address once and in the order of its first link, without the page's own."""
+    made = F.transform(page_links(html), lambda x: F.struct(x["pos"].alias("pos"), safe_link(page, x["href"], domains).alias("url"), x["anchor"].alias("anchor")))
+    own = normal_url(page)
+
+    def first_of_each(links: Column) -> Column:
+        urls = F.transform(links, lambda x: x["url"])
+        return F.filter(links, lambda x, k: F.array_position(urls, x["url"]) == k + 1)
+
+    return let(F.filter(made, lambda x: x["url"].isNotNull() & (x["url"] != own)), first_of_each)
 
 
 def link_title(anchor: Column, url: Column) -> Column:
@@ -166,6 +218,12 @@ def epoch_time(c: Column) -> Column:
 
 
 def feed_date(c: Column) -> Column:
-    """An RFC 2822 date as ISO text in UTC; another text as it is, cut; null for an empty one."""
-    t = F.try_to_timestamp(F.regexp_replace(F.trim(c), r"^\w{3},\s*", ""), F.lit("d MMM yyyy HH:mm:ss Z"))
-    return F.when(squeeze(c) == "", None).otherwise(F.coalesce(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), without_tags(c, 80)))
+    """An RFC 2822 date as ISO text in UTC, with or without weekday and seconds, its zone a number or a name (none: UTC); another text as it is, cut; null for an empty one."""
+    t = F.regexp_replace(squeeze(c), r"^[A-Za-z]{3,9},?\s*|\s*\([^()]*\)$", "")
+    for pattern, to in ((r"^(\d{1,2} \w{3}) ([0-6]\d)(?= )", "$1 20$2"), (r"^(\d{1,2} \w{3}) ([7-9]\d)(?= )", "$1 19$2"), (r"^(\d{1,2} \w{3} \d{4} \d{1,2}:\d{2})(?= |$)", "$1:00"), (r"(:\d{2})$", "$1 +0000")):
+        t = F.regexp_replace(t, pattern, to)
+    zone = F.substring_index(t, " ", -1)
+    zones = F.create_map(*(F.lit(x) for kv in _ZONES.items() for x in kv))
+    number = F.coalesce(F.try_element_at(zones, F.upper(zone)), zone)
+    at = F.try_to_timestamp(F.concat(F.left(t, F.length(t) - F.length(zone)), number), F.lit("d MMM yyyy H:mm:ss Z"))
+    return F.when(squeeze(c) == "", None).otherwise(F.coalesce(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), without_tags(c, 80)))

@@ -7,9 +7,14 @@ prefixes misses none, and no title is held against all others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from difflib import SequenceMatcher
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.text import bigrams, jaccard, match_key, sequence_ratio
+from ..session import durable
 
 SAME = 0.62
 
@@ -42,11 +47,74 @@ def best_earlier(rows: DataFrame, key: str, title: str, order: str, least: float
     open_ = own.withColumnRenamed("key", "a").join(every, "a").join(firsts.withColumnsRenamed({"key": "b"}), "b").where("first < ord")
     top = open_.groupBy("id", "ord").agg(F.max("score").alias("score"))
     best = open_.join(top, ["id", "ord", "score"]).select("id", "ord", "score", "b")
-    known = own.select(F.col("key").alias("b"), F.col("id").alias("k_id"), F.col("ord").alias("k_ord"))
-    met = best.join(known, "b").where("k_ord < ord").groupBy("id", "ord", "score").agg(F.max("k_id").alias("match_id"))
+    # The greatest id before each asking row of the key: a running maximum over askers and known rows together, askers first where times are equal.
+    asks = best.select("b", "ord", F.lit(0).alias("kind"), F.lit(None).cast(own.schema["id"].dataType).alias("k_id"), "id", "score")
+    known = own.select(F.col("key").alias("b"), "ord", F.lit(1).alias("kind"), F.col("id").alias("k_id"), F.lit(None).cast(own.schema["id"].dataType).alias("id"), F.lit(None).cast("double").alias("score"))
+    so_far = F.max("k_id").over(Window.partitionBy("b").orderBy("ord", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = asks.unionByName(known).withColumn("found", so_far).where("kind = 0").groupBy("id", "ord", "score").agg(F.max("found").alias("match_id"))
     return met.select(F.col("id").alias(key), F.col("ord").alias(order), "match_id", "score")
 
 
+def overlapping_keys(keys: DataFrame, least: float) -> DataFrame:
+    """From distinct (key): (a, b) of different keys, both ways, whose characters, counted with repeats, are alike enough for a sequence ratio of ``least``.
+
+    The ratio of two sequences is at most twice their common characters over their lengths. A character's n-th occurrence is an
+    element of its own; two keys that reach the bound share one of the rarest elements of each, so many as the bound leaves.
+    """
+    chars = F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.substring("key", i, F.lit(1)))
+    own = keys.where("key <> ''").select("key", F.length("key").alias("size"), F.posexplode(chars).alias("pos", "c"))
+    nth = own.select("key", "size", "c", F.row_number().over(Window.partitionBy("key", "c").orderBy("pos")).alias("k"))
+    rank = nth.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "c", "k"))
+    # At least least / (2 - least) of a key's characters are common to both.
+    need = F.ceil(F.lit(least / (2 - least)) * F.col("size") - 1e-9)
+    posts = nth.join(rank, ["c", "k"]).withColumn("place", place).where(F.col("place") <= F.col("size") - need + 1).select("key", "size", "c", "k")
+    a, b = posts.alias("a"), posts.alias("b")
+    near = F.least("a.size", "b.size") >= F.lit(least / (2 - least)) * F.greatest("a.size", "b.size") - 1e-9
+    pairs = a.join(b, (F.col("a.c") == F.col("b.c")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.key") < F.col("b.key")) & near).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+@F.pandas_udf(DoubleType())
+def ratio_from(candidate: pd.Series, known: pd.Series, least: pd.Series) -> pd.Series:
+    """difflib's ratio where its upper bounds reach ``least``, else null."""
+    out, last, matcher = [], None, SequenceMatcher(None)
+    for a, b, t in zip(candidate, known, least):
+        if b != last:
+            matcher.set_seq2(b)
+            last = b
+        matcher.set_seq1(a)
+        fine = matcher.real_quick_ratio() >= t and matcher.quick_ratio() >= t
+        r = matcher.ratio() if fine else 0.0
+        out.append(r if r >= t else None)
+    return pd.Series(out, dtype="float64")
+
+
+def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> DataFrame:
+    """(id, score, match_id, match_title, rounded): for each row (id, title, ord) the most similar of the known (id, title) and of the rows before it.
+
+    Similarity is the greater of the sequence ratio (the row first) and of the Jaccard similarity of bigrams, over match keys; equal
+    ones go to the greatest id, then title. Rows without a match of ``least`` or more are left out. Every row that comes before counts,
+    whatever became of it, so no row waits for another. Keys meet once, however many rows have them.
+    """
+    own = rows.select("id", "title", "ord", match_key(F.col("title")).alias("key"))
+    held = own.select("id", "title", "ord", "key").unionByName(known.select("id", "title", F.lit(None).cast(own.schema["ord"].dataType).alias("ord"), match_key(F.col("title")).alias("key")))
+    keys = durable(held.select("key").distinct(), "keys")
+    near = overlapping_keys(keys, least).unionByName(similar_keys(keys, least).select("a", "b")).distinct()
+    ratio = F.coalesce(ratio_from("a", "b", F.lit(least)), F.lit(0.0))
+    scored = near.withColumn("score", F.greatest(ratio, jaccard(bigrams(F.col("a")), bigrams(F.col("b"))))).where(F.col("score") >= least)
+    links = durable(scored.unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score"))), "links")
+    # Of each key: its greatest record that is always there, its first row, and the greatest record so far at each row.
+    asks = own.select("id", "ord", F.col("key").alias("a")).join(links, "a")
+    events = asks.select("b", "ord", F.lit(0).alias("kind"), F.lit(None).cast("struct<id:string,title:string>").alias("r"), "id", "score").unionByName(
+        held.select(F.col("key").alias("b"), "ord", F.lit(1).alias("kind"), F.struct(F.col("id").cast("string").alias("id"), "title").alias("r"), F.lit(None).cast(own.schema["id"].dataType).alias("id"), F.lit(None).cast("double").alias("score"))
+    )
+    so_far = F.max("r").over(Window.partitionBy("b").orderBy(F.col("ord").asc_nulls_first(), "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = events.withColumn("found", so_far).where("kind = 0 AND found IS NOT NULL")
+    best = met.groupBy("id").agg(F.max(F.struct("score", F.col("found.id").alias("match_id"), F.col("found.title").alias("match_title"))).alias("x"))
+    return best.select("id", "x.*", F.round("x.score", 4).alias("rounded"))
+
+
 def with_ratio(pairs: DataFrame, candidate: str, known: str) -> DataFrame:
     """pairs with ratio (of the sequence, candidate first) and similarity, the greater of it and the Jaccard similarity, and its rounding to four places."""
     a, b = match_key(F.col(candidate)), match_key(F.col(known))

@@ -8,6 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import title_key
+from ..session import durable
+
+
+def last_values(rows: DataFrame, by: str, value: str, *order: Column, most: int) -> DataFrame:
+    """(by, values): the group's last ``most`` values in order, the latest at the end."""
+    backwards = [c.desc() for c in order]
+    last = rows.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(*backwards))).where(F.col("_n") <= most)
+    return last.groupBy(by).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("k"), F.col(value).alias("v")))), lambda x: x["v"]).alias("values"))
+
+
+def run_report(**parts: DataFrame) -> DataFrame:
+    """One row of counts: each part is a frame of one row, its columns named after it."""
+    return reduce(DataFrame.crossJoin, (df.select(*(F.col(c).alias(f"{name}_{c}") for c in df.columns)) for name, df in parts.items()))
 
 
 def first_non_empty(c: str, order: str) -> Column:
@@ -55,14 +68,30 @@ def staged(rows: DataFrame, key: Column, fits: Column, order: str, taken: DataFr
     ).drop("k", "fits", "known", "first", "wins", "before")
 
 
-def running_count(rows: DataFrame, order: str, test: Column, name: str, width: int = 4096) -> DataFrame:
-    """The number of rows up to each row, in order, that pass the test: counted within ranges of the order, the ranges' sums added, so no task sees all rows."""
-    cell = F.floor(F.col(order) / width)
-    own = rows.withColumn("_cell", cell).withColumn("_t", F.when(test, 1).otherwise(0))
-    sums = own.groupBy("_cell").agg(F.sum("_t").alias("_sum"))
-    before = sums.select("_cell", (F.sum("_sum").over(Window.orderBy("_cell")) - F.col("_sum")).alias("_base"))  # one row per range
-    within = F.sum("_t").over(Window.partitionBy("_cell").orderBy(order))
-    return own.withColumn("_n", within).join(before, "_cell").withColumn(name, F.col("_n") + F.col("_base")).drop("_cell", "_t", "_n", "_base")
+def placed(rows: DataFrame, *order: Column, name: str = "place", partitions: int | None = None) -> DataFrame:
+    """rows with their place (from 1) in a total order: sorted by ranges, counted within each, the ranges' sizes added, so no task sees all rows.
+
+    The order has to end with a key, so that no two rows share a place. Kept in the shared folder.
+    """
+    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    local = ranged.sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_k", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + 1)
+    local = durable(local, "placed")
+    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))  # one row per range
+    return local.join(before, "_part").withColumn(name, F.col("_k") + F.col("_base")).drop("_part", "_k", "_base")
+
+
+def running_count(rows: DataFrame, order: str, test: Column, name: str, key: str | None = None) -> DataFrame:
+    """The number of rows up to each row that pass the test, by ``order`` and then by ``key``: counted within ranges of the order, the ranges' sums added, so no task sees all rows.
+
+    Without a key, rows of one order value count together.
+    """
+    by = [F.col(order)] + ([F.col(key)] if key else [])
+    local = durable(rows.withColumn("_t", F.when(test, 1).otherwise(0)).repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranged")
+    sums = local.groupBy("_part").agg(F.sum("_t").alias("_sum"))
+    before = sums.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_base"))  # one row per range
+    within = F.sum("_t").over(Window.partitionBy("_part").orderBy(*by).rangeBetween(Window.unboundedPreceding, Window.currentRow) if not key else Window.partitionBy("_part").orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return local.withColumn("_n", within).join(before, "_part").withColumn(name, F.col("_n") + F.col("_base")).drop("_part", "_t", "_n", "_base")
 
 
 def looked_up(rows: DataFrame, c: str, tables: Sequence[tuple[DataFrame, str, str]], name: str) -> DataFrame:

@@ -68,16 +68,6 @@ def q_sequence_ratio(spark: SparkSession, d: str) -> DataFrame:
     return with_ratio(pairs, "title", "known").select("id", "match_id", F.round("jaccard", 6).alias("jaccard"), F.round("ratio", 6).alias("ratio"), "rounded")
 
 
-def q_staged(spark: SparkSession, d: str) -> DataFrame:
-    r = _reviews(spark, d).groupBy("review_id").agg(F.min("ord").alias("ord"), F.max("title").alias("title"), F.max("decision").alias("decision"), F.max("domain").alias("domain"))
-    # Positions instead of times, so that equal times have an order.
-    r = R.running_count(r.withColumn("ord", F.xxhash64("review_id").bitwiseAND(0xFFFFFFFF)), "ord", F.lit(True), "place")
-    fits = F.col("decision").isin("pending", "approved") & (F.length("title") >= 4)
-    taken = table(spark, d, "questions").select(match_key(F.col("title")).alias("k"))
-    out = R.staged(r, match_key(F.col("title")), fits, "place", taken, 200)
-    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-
-
 def q_merged_titles(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "questions").withColumn("ord", F.unix_micros(F.col("added_at").cast("timestamp")))
     m = R.merged_by_title(q.groupBy("id", "title").agg(F.min("ord").alias("ord"), F.first("answer_detail", True).alias("answer_detail"), F.first("tags", True).alias("tags")), "title", "ord", ["answer_detail"], "tags")

@@ -206,9 +206,10 @@ SQL = {
     "q_bigrams": f"WITH k AS (SELECT id, {_KEY('title')} k FROM questions), g AS (SELECT id, unnest({_GRAMS('k')}) gram FROM k) SELECT gram, count(DISTINCT id) n FROM g GROUP BY gram",
     "q_tags": f"""SELECT id, added_at, array_to_string(list_concat(coalesce(tags, []), list_filter(CASE WHEN domain = subtopic THEN [domain] ELSE [domain, subtopic] END, lambda x: x IS NOT NULL AND x <> '' AND NOT list_contains(coalesce(tags, []), x))), '|') tags,
       array_to_string(list_filter(list_transform(coalesce(pitfalls, []), lambda x: left({_SQ('x')}, 20)), lambda x: x <> '')[1:2], '|') pitfalls FROM questions""",
-    "q_markdown_images": r"""WITH t AS (SELECT doc_id, '![图](data:image/png;base64,AA==)' || chr(10) || '[1]: a.png' || chr(10) || text || '  ' || chr(10) || '<IMG src=''x''>![a][1] end' t FROM documents)
-      SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '(?is)<img\b[^>]*>', ' ', 'g'), '(?im)^\s*\[[^\]\r\n]+\]:\s*(?:<?data:image/|<?[^\s>]+\.(?:png|jpe?g|webp)(?:[?#][^\s>]*)?>?).*$', '', 'g'),
-      '!\[[^\]\r\n]*\](?:\([^\r\n)]*\)|\[[^\]\r\n]*\])', ' ', 'g'), '[ \t]+\n', chr(10), 'g') AS plain FROM t""",
+    "q_markdown_images": r"""WITH t AS (SELECT doc_id, '![图](data:image/png;base64,AA==)' || chr(10) || '[1]: a.png' || chr(10) || text || '  ' || chr(10) || '<IMG src=''x''>![a][1] end' t FROM documents),
+      l AS (SELECT doc_id, string_split(regexp_replace(t, '<[iI][mM][gG]([^0-9A-Za-z_>][^>]*)?>', ' ', 'g'), chr(10)) ls FROM t),
+      m AS (SELECT doc_id, list_transform(ls, lambda x: CASE WHEN regexp_full_match(lower(x), '\s*\[[^\]]+\]:\s*<?(data:image/.*|[^\s>]+[.](png|jpg|jpeg|webp)([?#].*|[\s>].*)?)') THEN '' ELSE regexp_replace(x, '!\[[^\]\r]*\]([(][^)\r]*[)]|\[[^\]\r]*\])', ' ', 'g') END) ls FROM l)
+      SELECT doc_id, array_to_string(list_concat(list_transform(ls[:-2], lambda x: rtrim(x, ' ' || chr(9))), ls[-1:]), chr(10)) AS plain FROM m""",
     "q_outline_limit": r"""WITH t AS (SELECT doc_id, text, len(regexp_extract_all(text, '[?？]')) marks, len(regexp_extract_all(text, '(?m)^\s{0,3}#{1,6}\s+\S')) heads FROM documents)
       SELECT doc_id, CASE WHEN length(text) >= 2000 THEN 60 ELSE least(60, greatest(2, greatest(marks, heads) + 3)) END most, marks FROM t""",
     "q_display": f"""SELECT id, added_at, coalesce(nullif(trim(company), ''), '公司未记录') company, coalesce(nullif(trim(date), ''), '日期未记录') date,

@@ -32,23 +32,54 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Written beside the table, then put in its place: readers see the old rows or the new ones."""
-    spark = df.sparkSession
+def _beside(df: DataFrame, path: str) -> str:
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     df.write.parquet(beside)
+    return beside
+
+
+def _swap(spark: SparkSession, beside: str, path: str) -> str | None:
+    """Put a written table in another's place; returns where the old one is now, if there was one."""
     fs, p = _fs(spark, path)
-    fs.delete(p, True)
+    aside = f"{path.rstrip('/')}-old-{uuid.uuid4().hex}" if fs.exists(p) else None
+    if aside and not fs.rename(p, _fs(spark, aside)[1]):
+        raise OSError(f"can't move {path} aside")
     if not fs.rename(_fs(spark, beside)[1], p):
+        if aside:
+            fs.rename(_fs(spark, aside)[1], p)
         raise OSError(f"can't put {beside} in place of {path}")
+    return aside
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Written beside the table, then the old one is moved aside and the new one put in its place; the old rows are deleted last, so a crash never loses both.
+
+    Between the two moves a reader that opens the table finds none; one that has opened it before keeps the files till the deletion.
+    """
+    commit_if(None, [(df, path)])
 
 
-def commit_if(condition: DataFrame, writes: list[tuple[DataFrame, str]]) -> bool:
-    """Write all tables if the condition has any row, none otherwise."""
-    if condition.isEmpty():
+def commit_if(condition: DataFrame | None, writes: list[tuple[DataFrame, str]]) -> bool:
+    """Write all tables if the condition has any row (or is None), none otherwise. All are written before the first is put in place; if one can't be, those before it are put back."""
+    if condition is not None and condition.isEmpty():
         return False
-    for df, path in writes:
-        replace_table(df, path)
+    spark = writes[0][0].sparkSession
+    ready = [(_beside(df, path), path) for df, path in writes]
+    done: list[tuple[str, str | None]] = []
+    try:
+        for beside, path in ready:
+            done.append((path, _swap(spark, beside, path)))
+    except OSError:
+        for path, aside in reversed(done):
+            fs, p = _fs(spark, path)
+            fs.delete(p, True)
+            if aside:
+                fs.rename(_fs(spark, aside)[1], p)
+        raise
+    for _, aside in done:
+        if aside:
+            fs, p = _fs(spark, aside)
+            fs.delete(p, True)
     return True
 
 

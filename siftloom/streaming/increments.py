@@ -33,8 +33,17 @@ def windowed(events: DataFrame, at: str, by: str, value: str, late: str = "1 day
 
 
 def run_now(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there and give its result as a table in the shared folder."""
+    """Run a stream over what is there and give its result as a table in the shared folder.
+
+    In append mode each micro-batch is a folder of its own, so a batch that is run again replaces its own rows and no other's;
+    in complete mode the last batch is the result.
+    """
     spark = stream.sparkSession
     out = f"{shared_dir(spark)}/{name}"
-    stream.writeStream.outputMode(mode).foreachBatch(lambda df, k: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
+
+    def one(df: DataFrame, k: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={k}" if mode == "append" else out)
+
+    stream.writeStream.outputMode(mode).foreachBatch(one).option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    made = spark.read.schema(stream.schema).parquet(out)
+    return made.drop("batch") if mode == "append" and "batch" not in stream.columns else made

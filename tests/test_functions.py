@@ -114,26 +114,21 @@ def test_lists_of_texts_and_objects(spark):
     assert one(spark, review_record(F.col("x")), x='{"verdict": "fine", "summary": "s"}') is None
 
 
-def brute_chunks(text, limit, marks):
-    import re
-
-    out, cur = [], ""
-    for p in filter(None, (x.strip() for x in re.split(r"\n\s*\n", text))):
-        for piece in (p[i : i + limit] for i in range(0, len(p), limit)):
-            longer = f"{cur}\n\n{piece}".strip() if cur else piece
-            if cur and (len(longer) > limit or (marks and sum(map(longer.count, "?？")) > marks)):
-                out.append(cur)
-                cur = piece
-            else:
-                cur = longer
-    return out + [cur] * bool(cur)
-
-
-def test_chunks_as_by_hand(spark):
+def test_chunks_by_their_properties(spark):
+    """Nothing but blanks is lost, no chunk is over a limit that a single piece keeps, and no chunk would have taken the next piece."""
     rng = random.Random(5)
+    limit, marks = 20, 3
     texts = ["".join(rng.choice("ab ?？\n\n\n　") for _ in range(rng.randint(0, 120))) for _ in range(150)]
-    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").select("i", chunks(F.col("t"), 20, 3).alias("c")).collect()
-    assert all(list(r["c"]) == brute_chunks(texts[r["i"]], 20, 3) for r in rows)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").select("i", chunks(F.col("t"), limit, marks).alias("c")).collect()
+    squash = lambda x: "".join(x.split())
+    asked = lambda x: x.count("?") + x.count("？")
+    for r in rows:
+        got = list(r["c"])
+        assert squash("".join(got)) == squash(texts[r["i"]]) and all(got)
+        assert all(len(c) <= limit for c in got) and all(asked(c) <= marks for c in got if "\n\n" in c)
+        for c, after in zip(got, got[1:]):
+            both = f"{c}\n\n{after.split(chr(10) * 2)[0]}".strip()
+            assert len(both) > limit or asked(both) > marks
 
 
 def test_halves(spark):
@@ -141,3 +136,29 @@ def test_halves(spark):
     assert (h["left"], h["right"]) == ("a" * 300, "b" * 250)
     h = one(spark, halves(F.col("x")), x="a" * 10 + "\n\n" + "b" * 600)
     assert len(h["left"]) == 306 and one(spark, halves(F.col("x")), x="short") is None
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [
+        ("Tue, 04 Mar 2025 01:00:00 GMT", "2025-03-04T01:00:00+00:00"), ("4 Mar 2025 01:00 EST", "2025-03-04T06:00:00+00:00"), ("Tue, 4 Mar 25 23:30:00 -0800", "2025-03-05T07:30:00+00:00"),
+        ("4 Mar 2025 01:00:00", "2025-03-04T01:00:00+00:00"), ("yesterday", "yesterday"), ("Tue, 99 Mar 2025 01:00:00 GMT", "Tue, 99 Mar 2025 01:00:00 GMT"), (" ", None), (None, None),
+    ],
+)
+def test_feed_dates(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "x STRING").select(W.feed_date(F.col("x"))).first()[0] == want
+
+
+@pytest.mark.parametrize(("raw", "want"), [("&#8212; &#x4e2d; &eacute;", "— 中 é"), ("&amp;lt;", "&lt;"), ("&#0;&#xD800;&#x110000;", "\ufffd" * 3), ("&#128;&bogus; & &;", "€&bogus; & &;"), ("a&apos;b", "a'b"), (None, None), ("", "")])
+def test_unescaped(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "x STRING").select(W.unescaped(F.col("x"))).first()[0] == want
+
+
+def test_links_of_odd_markup(spark):
+    html = "<a data-href='/x' href='/y'>1</a><a href=/u>2</a><a class=c href=\"/v?a=1&amp;b=2\" rel='x NoFollow'>3</a><a href=\"/w?a=1&amp;b=2\">4 &lt; 5</a>"
+    got = one(spark, W.page_links(F.col("x")), x=html)
+    assert [(r["pos"], r["href"], r["anchor"]) for r in got] == [(0, "/y", "1"), (1, "/u", "2"), (3, "/w?a=1&b=2", "4 < 5")]
+
+
+def test_addresses_with_wrong_codes(spark):
+    assert one(spark, W.normal_url(F.col("x")), x="\u3000https://A.example//p/?q=%zz+b&r=100%\u3000") == "https://a.example/p?q=%25zz+b&r=100%25"

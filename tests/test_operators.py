@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from siftloom.operators import records as R
 from siftloom.operators.frontier import discovered
-from siftloom.operators.matching import best_earlier, similar_keys
+from siftloom.operators.matching import best_earlier, best_similar, similar_keys
 from siftloom.operators.search import faceted
 from siftloom.operators.state import due, stale, unchanged, upsert
 from siftloom.sources.feeds import allowed_by_robots, feed_entries, paged_source, parsed_feeds, read_paged
 from siftloom.sources.files import decoded, local_documents
 from siftloom.sources.tables import changelog, commit_if, enriched, read_json, replace_table
-from siftloom.streaming.increments import upsert_stream
+from siftloom.streaming.increments import run_now, upsert_stream
 
 T = [dt(2025, 1, d) for d in range(1, 10)]
 
@@ -68,7 +68,7 @@ def test_staged_as_the_walk(spark):
 
 def test_running_count_over_ranges(spark):
     df = spark.range(100).withColumn("x", F.col("id") % 3 == 0)
-    assert all(r["n"] == r["id"] // 3 + 1 for r in R.running_count(df, "id", F.col("x"), "n", width=7).collect())
+    assert all(r["n"] == r["id"] // 3 + 1 for r in R.running_count(df, "id", F.col("x"), "n").collect())
 
 
 def test_merge_by_title(spark):
@@ -223,3 +223,62 @@ def test_frontier_query_takes_as_many_as_the_reference(spark, tmp_path):
     spark.createDataFrame([("u00-0", dt(2025, 1, 1))], "id STRING, deleted_at TIMESTAMP_NTZ").write.parquet(f"{tmp_path}/questions.parquet")
     got = {(r["seed"], r["pos"]) for r in QUERIES["q_frontier"](spark, str(tmp_path)).collect()}
     assert got == {(k, i) for k in range(15) for i in range(20)} - {(0, 0)} | {(0, 20)}
+
+
+def test_places_in_a_total_order(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 5), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "a INT, id INT")
+    got = {r["id"]: r["place"] for r in R.placed(df, F.col("a").desc(), F.col("id"), partitions=7).collect()}
+    assert got == {k: n for n, (_, k) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])), 1)}
+    assert R.placed(df.limit(0), F.col("id")).count() == 0
+    counted = {r["id"]: r["n"] for r in R.running_count(df, "a", F.col("id") % 2 == 0, "n", key="id").collect()}
+    order = sorted(rows)
+    assert counted == {k: sum(j % 2 == 0 for b, j in order[: n + 1]) for n, (_, k) in enumerate(order)}
+
+
+def test_last_values_and_report(spark):
+    df = spark.createDataFrame([("a", k, f"t{k}") for k in range(5)] + [("b", 0, "x")], "g STRING, k INT, t STRING")
+    assert {r["g"]: r["values"] for r in R.last_values(df, "g", "t", F.col("k"), most=3).collect()} == {"a": ["t2", "t3", "t4"], "b": ["x"]}
+    row = R.run_report(all=df.agg(F.count(F.lit(1)).alias("n")), none=df.limit(0).agg(F.count(F.lit(1)).alias("n"))).first()
+    assert (row["all_n"], row["none_n"]) == (6, 0)
+
+
+def test_best_similar_as_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(8)
+    bases = ["".join(rng.choice("如何在中断里喂看门狗并测量余量abc1") for _ in range(rng.choice((1, 4, 9, 15, 25)))) for _ in range(25)]
+
+    def noisy():
+        t = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(t) + 1)
+            t[k : k + rng.randint(0, 2)] = rng.choice(["", "，", "甲", "乙B"])
+        return "".join(t)
+
+    rows = [(f"r{k:03}", noisy(), k // 2) for k in range(120)]
+    known = [(f"q{k}", noisy()) for k in range(20)] + [("q9", "r001"), ("r0005", rows[0][1])]
+    key = lambda t: "".join(c for c in t if c.isascii() and c.isalnum() or "一" <= c <= "鿿").lower()
+    grams = lambda k: {k[i : i + 2] for i in range(len(k) - 1)} or {k}
+
+    def like(a, b):
+        x, y = key(a), key(b)
+        return max(SequenceMatcher(None, x, y).ratio(), len(grams(x) & grams(y)) / len(grams(x) | grams(y)))
+
+    want = {}
+    for i, t, o in rows:
+        best = max(((like(t, u), j, u) for j, u in known + [(j, u) for j, u, p in rows if p < o]), default=(0,))
+        if best[0] >= 0.62:
+            want[i] = (round(best[0], 9), best[1], best[2])
+    got = best_similar(spark.createDataFrame(rows, "id STRING, title STRING, ord INT"), spark.createDataFrame(known, "id STRING, title STRING"))
+    assert {r["id"]: (round(r["score"], 9), r["match_id"], r["match_title"]) for r in got.collect()} == want
+    assert best_similar(spark.createDataFrame([], "id STRING, title STRING, ord INT"), spark.createDataFrame([], "id STRING, title STRING")).count() == 0
+
+
+def test_streams_append_every_batch(spark, tmp_path):
+    land = tmp_path / "land"
+    spark.range(0, 5).coalesce(1).write.parquet(str(land))
+    spark.range(5, 9).coalesce(1).write.mode("append").parquet(str(land))
+    stream = spark.readStream.schema("id LONG").option("maxFilesPerTrigger", "1").parquet(str(land))
+    assert sorted(r["id"] for r in run_now(stream, f"appended-{tmp_path.name}", "append").collect()) == list(range(9))
