@@ -69,7 +69,13 @@ def p8_largest_shares(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p8_largest_mix": p8_largest_mix, "p8_largest_shares": p8_largest_shares, "p7_found": p7_found, "p7_items": p7_items, "p9_found": p9_found, "p9_shared": p9_shared}
 _WINDOWS = """WITH w AS (SELECT doc_id, length(text) n, unnest(range(1, length(text) - 148)) i, text FROM documents WHERE length(text) >= 150),
   h AS (SELECT doc_id, i, md5(substring(text, i, 150)) h FROM w), d AS (SELECT DISTINCT doc_id, h FROM h), """
+_WIDE = "".join(map(chr, [*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)]))
+_NARROW = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE)
+_PLAIN = lambda c: rf"regexp_replace(lower(translate(nfc_normalize({c}), '{_WIDE}', '{_NARROW}')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+_LEAKS = f"""WITH d AS (SELECT doc_id, {_PLAIN('text')} t FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL), i AS (SELECT item_id, {_PLAIN('text')} t FROM benchitems WHERE item_id IS NOT NULL AND text IS NOT NULL),
+  w AS (SELECT DISTINCT item_id, t[k:k + 39] w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) k FROM i WHERE length(t) >= 40)), v AS (SELECT DISTINCT doc_id, t[k:k + 39] w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) k FROM d WHERE length(t) >= 40)), """
 SQL = {
+    "p7_found": _LEAKS + "p AS (SELECT DISTINCT doc_id, item_id FROM v JOIN w USING (w)) SELECT * FROM p",
     "p9_found": _WINDOWS + "p AS (SELECT DISTINCT a.doc_id doc_lo, b.doc_id doc_hi FROM d a JOIN d b ON a.h = b.h AND a.doc_id < b.doc_id) SELECT * FROM p",
     "p9_shared": _WINDOWS
     + """m AS (SELECT h FROM d GROUP BY h HAVING count(*) > 1), c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 150)) p FROM h JOIN m USING (h)), s AS (SELECT doc_id, count(*) n FROM c GROUP BY 1)

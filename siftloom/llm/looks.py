@@ -42,8 +42,8 @@ _RADICALS = (
 )
 _SHOWS = ("<super>", "<sub>", "<circle>", "<fraction>")
 # The ranges of default-ignorable code points.
-_IGNORABLE = "\xad͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
-_HIDDEN = re.compile(f"[{_IGNORABLE}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]+")
+IGNORED = "\xad͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
+_HIDDEN = re.compile(f"[{IGNORED}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]+")
 _BLANKS = re.compile(r"[\s⠀]+")
 _PLAIN = re.compile(r"[\x20-\x7e、。一-鿿]*")
 
@@ -57,7 +57,7 @@ def _kept() -> tuple[re.Pattern[str], dict[int, str]]:
 
 
 _KEPT: list[tuple[re.Pattern[str], dict[int, str]]] = []
-_MAP = {ord(a): b for xs, ys in (*_ALIKE, *_SIGNS, _RADICALS) for a, b in zip(xs, ys, strict=True)}
+ALIKE = {ord(a): b for xs, ys in (*_ALIKE, *_SIGNS, _RADICALS) for a, b in zip(xs, ys, strict=True)}
 
 
 def unify_one(s: str, fold: bool = True) -> str:
@@ -67,7 +67,7 @@ def unify_one(s: str, fold: bool = True) -> str:
             _KEPT.append(_kept())
         stay, within = _KEPT[0]
         parts = stay.split(_HIDDEN.sub("", s).translate(within))
-        s = "".join(p if k % 2 else unicodedata.normalize("NFKD", p).translate(_MAP) for k, p in enumerate(parts))
+        s = "".join(p if k % 2 else unicodedata.normalize("NFKD", p).translate(ALIKE) for k, p in enumerate(parts))
         s = unicodedata.normalize("NFC", _HIDDEN.sub("", s))
     s = _BLANKS.sub(" ", s).strip(" ")
     return unicodedata.normalize("NFC", s.casefold()) if fold else s

