@@ -127,8 +127,9 @@ def safe_link(base: Column, href: Column, domains: Sequence[str]) -> Column:
 
 def unescaped(c: Column) -> Column:
     """Character references, by number or by name, as their characters; each once. Numbers of no character become U+FFFD."""
-    names = F.create_map(*(F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, code)), F.lit("apos"), F.lit(39))
-    west = F.array(*(F.lit(ord(bytes([k]).decode("cp1252", "ignore") or chr(k))) for k in range(128, 160)))
+    # Each one expression, so that building a plan takes no call for every entry.
+    names = F.expr("map(" + ", ".join(f"'{name}', {code}" for name, code in {**name2codepoint, "apos": 39}.items()) + ")")
+    west = F.expr("array(" + ", ".join(str(ord(bytes([k]).decode("cp1252", "ignore") or chr(k))) for k in range(128, 160)) + ")")
 
     def number(key: Column) -> Column:
         code = F.when(key.rlike("^#[xX]"), F.conv(F.substring(key, 3, 10), 16, 10)).otherwise(F.substring(key, 2, 10)).cast("int")
@@ -168,9 +169,8 @@ def page_links(html: Column) -> Column:
     found = F.regexp_extract_all(html, F.lit(r"(?is)<a\b((?:(?!<a\b).)*?)</a\s*>"), 1)
 
     def attr(head: Column, name: str) -> Column:
-        pattern = rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-        value = F.concat(*(F.regexp_extract(head, pattern, k) for k in (1, 2, 3)))
-        return F.when(head.rlike(pattern), unescaped(value)).otherwise("")
+        value = F.regexp_extract(head, rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+        return unescaped(let(value, lambda v: F.when(F.left(v, F.lit(1)).isin('"', "'"), F.substring(v, 2, F.length(v) - 2)).otherwise(v)))
 
     def one(t: Column, k: Column) -> Column:
         def of(head: Column) -> Column:

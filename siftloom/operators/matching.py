@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
@@ -75,19 +76,36 @@ def overlapping_keys(keys: DataFrame, least: float) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _most_common(keys: np.ndarray, bins: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """For each key how often its characters fall into each of some bins, and its length: the sum of two keys' lesser counts is at least what they have in common."""
+    cps = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), "<u4")
+    size = np.fromiter(map(len, keys), np.int64, len(keys))
+    held = np.zeros((len(keys), bins), np.uint16)
+    np.add.at(held, (np.repeat(np.arange(len(keys)), size), cps * np.uint32(2654435761) >> np.uint32(25)), 1)
+    return held, size
+
+
 @F.pandas_udf(DoubleType())
 def ratio_from(candidate: pd.Series, known: pd.Series, least: pd.Series) -> pd.Series:
     """difflib's ratio where its upper bounds reach ``least``, else null."""
-    out, last, matcher = [], None, SequenceMatcher(None)
-    for a, b, t in zip(candidate, known, least):
-        if b != last:
-            matcher.set_seq2(b)
-            last = b
-        matcher.set_seq1(a)
-        fine = matcher.real_quick_ratio() >= t and matcher.quick_ratio() >= t
-        r = matcher.ratio() if fine else 0.0
-        out.append(r if r >= t else None)
-    return pd.Series(out, dtype="float64")
+    a, b, t = candidate.to_numpy(), known.to_numpy(), least.to_numpy()
+    out = np.full(len(a), np.nan)
+    if not len(a):
+        return pd.Series(out)
+    keys, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    held, size = _most_common(keys)
+    x, y = at[: len(a)], at[len(a) :]
+    both = np.minimum(held[x], held[y]).sum(axis=1)
+    may = np.flatnonzero(2 * both >= t * (size[x] + size[y]) - 1e-9)
+    matcher, last = SequenceMatcher(None), None
+    for k in may[np.argsort(y[may], kind="stable")].tolist():
+        if y[k] != last:
+            matcher.set_seq2(b[k])
+            last = y[k]
+        matcher.set_seq1(a[k])
+        if matcher.quick_ratio() >= t[k] and (r := matcher.ratio()) >= t[k]:
+            out[k] = r
+    return pd.Series(out).astype(object).where(~np.isnan(out), None)
 
 
 def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> DataFrame:
@@ -100,7 +118,8 @@ def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> Data
     own = rows.select("id", "title", "ord", match_key(F.col("title")).alias("key"))
     held = own.select("id", "title", "ord", "key").unionByName(known.select("id", "title", F.lit(None).cast(own.schema["ord"].dataType).alias("ord"), match_key(F.col("title")).alias("key")))
     keys = durable(held.select("key").distinct(), "keys")
-    near = overlapping_keys(keys, least).unionByName(similar_keys(keys, least).select("a", "b")).distinct()
+    asked = own.select(F.col("key").alias("a")).distinct()
+    near = overlapping_keys(keys, least).unionByName(similar_keys(keys, least).select("a", "b")).join(asked, "a", "left_semi").distinct()
     ratio = F.coalesce(ratio_from("a", "b", F.lit(least)), F.lit(0.0))
     scored = near.withColumn("score", F.greatest(ratio, jaccard(bigrams(F.col("a")), bigrams(F.col("b"))))).where(F.col("score") >= least)
     links = durable(scored.unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score"))), "links")

@@ -117,8 +117,10 @@ def q_whole_page(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
-    p = _pages(spark, d).select("doc_id", "url", F.explode(W.page_links(F.col("html"))).alias("l")).select("doc_id", F.col("url").alias("page"), "l.*")
-    return p.withColumn("url", W.safe_link(F.col("page"), F.col("href"), ("example",)))
+    """The links of each page with their safe addresses, worked out before the links become rows: once each, whatever asks for them."""
+    page, names = F.col("url"), ("pos", "href", "anchor")
+    own = F.transform(W.page_links(F.col("html")), lambda x: F.struct(*(x[c].alias(c) for c in names), W.safe_link(page, x["href"], ("example",)).alias("url")))
+    return _pages(spark, d).select("doc_id", page.alias("page"), F.explode(own).alias("l")).select("doc_id", "page", "l.*")
 
 
 def q_links(spark: SparkSession, d: str) -> DataFrame:
