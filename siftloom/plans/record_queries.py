@@ -255,6 +255,7 @@ SQL = {
     "q_search_sources": """SELECT DISTINCT id, 'source' what FROM sources WHERE contains(lower(concat_ws(' ', coalesce(title, ''), coalesce(kind, ''), coalesce(url, ''))), '面')
       UNION ALL SELECT DISTINCT id, 'experience' FROM experiences WHERE contains(lower(concat_ws(' ', coalesce(company, '公司未记录'), coalesce(role, ''), coalesce(round, ''), coalesce(summary, ''))), '未记录')""",
     "q_catalogue": "SELECT domain, count(DISTINCT id) questions, (SELECT count(DISTINCT id) FROM experiences) experiences, (SELECT count(DISTINCT id) FROM sources) sources FROM questions GROUP BY domain UNION ALL SELECT '*', count(DISTINCT id), (SELECT count(DISTINCT id) FROM experiences), (SELECT count(DISTINCT id) FROM sources) FROM questions",
+    "q_catalogue_lines": "SELECT DISTINCT '{' || array_to_string(list_filter([" + ", ".join(f"""'"{c}":' || to_json({c})::VARCHAR""" for c in ("id", "title", "domain", "subtopic", "difficulty", "tags", "status")) + "], lambda x: x IS NOT NULL), ',') || '}' line FROM questions",
     "q_experience_titles": """WITH e AS (SELECT DISTINCT ON (id) * FROM experiences), u AS (SELECT DISTINCT id experience, source_id, unnest(question_ids) qid FROM e), q AS (SELECT id qid, min(title) question FROM questions GROUP BY 1), s AS (SELECT id source_id, min(title) source FROM sources GROUP BY 1)
       SELECT experience, question, coalesce(source, '-') source FROM u JOIN q USING (qid) LEFT JOIN s USING (source_id)""",
     "q_event_windows": "SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) n, round(sum(value), 4) total FROM events GROUP BY 1, 2",
