@@ -1,25 +1,27 @@
-"""The best earlier match of each title: set similarity of bigrams by an exact prefix filter.
+"""The best earlier match of each title, and all similar keys by an exact prefix filter.
 
-Titles are compared by distinct match key, so repeated titles meet once. Bigrams are ranked by how rare they are; two keys
-of Jaccard similarity t or more share a bigram among the first size - ceil(t size) + 1 of each, so an equi-join of these
-prefixes misses none, and no title is held against all others.
+Titles are compared by distinct match key, so repeated titles meet once. The best match is searched by bits of the sets (``nearest``),
+without a row for a pair: the pairs over a threshold grow as the square of the titles. For all pairs (``similar_keys``) bigrams are
+ranked by how rare they are; two keys of Jaccard similarity t or more share a bigram among the first size - ceil(t size) + 1
+of each, so an equi-join of these prefixes misses none.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions.text import bigrams, jaccard, match_key, sequence_ratio
 from ..session import durable
+from .nearest import nearest
 
 SAME = 0.62
 
 
+def same_set(key: str) -> Column:
+    """The bigrams of a key in order, as one text: keys of the same bigrams have the same."""
+    return F.array_join(F.array_sort(bigrams(F.col(key))), "")
+
+
 def similar_keys(keys: DataFrame, least: float = SAME) -> DataFrame:
     """From distinct (key): (a, b, score) of different keys of Jaccard similarity ``least`` or more, both ways."""
     own = keys.select("key", bigrams(F.col("key")).alias("grams"))
@@ -40,72 +42,15 @@ def best_earlier(rows: DataFrame, key: str, title: str, order: str, least: float
     Rows without an earlier match of ``least`` or more are left out. A key held by many rows is reduced to its earliest row
     for the question whether it comes before, and to its greatest earlier id by a running maximum.
     """
-    own = rows.select(F.col(key).alias("id"), F.col(order).alias("ord"), match_key(F.col(title)).alias("key"))
-    links = similar_keys(own.select("key").distinct(), least)
-    same = own.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score")).distinct()
-    every = links.unionByName(same)
-    firsts = own.groupBy("key").agg(F.min("ord").alias("first"))
-    open_ = own.withColumnRenamed("key", "a").join(every, "a").join(firsts.withColumnsRenamed({"key": "b"}), "b").where("first < ord")
-    top = open_.groupBy("id", "ord").agg(F.max("score").alias("score"))
-    best = open_.join(top, ["id", "ord", "score"]).select("id", "ord", "score", "b")
-    # The greatest id before each asking row of the key: a running maximum over askers and known rows together, askers first where times are equal.
-    asks = best.select("b", "ord", F.lit(0).alias("kind"), F.lit(None).cast(own.schema["id"].dataType).alias("k_id"), "id", "score")
-    known = own.select(F.col("key").alias("b"), "ord", F.lit(1).alias("kind"), F.col("id").alias("k_id"), F.lit(None).cast(own.schema["id"].dataType).alias("id"), F.lit(None).cast("double").alias("score"))
-    so_far = F.max("k_id").over(Window.partitionBy("b").orderBy("ord", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = asks.unionByName(known).withColumn("found", so_far).where("kind = 0").groupBy("id", "ord", "score").agg(F.max("found").alias("match_id"))
-    return met.select(F.col("id").alias(key), F.col("ord").alias(order), "match_id", "score")
-
-
-def overlapping_keys(keys: DataFrame, least: float) -> DataFrame:
-    """From distinct (key): (a, b) of different keys, both ways, whose characters, counted with repeats, are alike enough for a sequence ratio of ``least``.
-
-    The ratio of two sequences is at most twice their common characters over their lengths. A character's n-th occurrence is an
-    element of its own; two keys that reach the bound share one of the rarest elements of each, so many as the bound leaves.
-    """
-    chars = F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.substring("key", i, F.lit(1)))
-    own = keys.where("key <> ''").select("key", F.length("key").alias("size"), F.posexplode(chars).alias("pos", "c"))
-    nth = own.select("key", "size", "c", F.row_number().over(Window.partitionBy("key", "c").orderBy("pos")).alias("k"))
-    rank = nth.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "c", "k"))
-    # At least least / (2 - least) of a key's characters are common to both.
-    need = F.ceil(F.lit(least / (2 - least)) * F.col("size") - 1e-9)
-    posts = nth.join(rank, ["c", "k"]).withColumn("place", place).where(F.col("place") <= F.col("size") - need + 1).select("key", "size", "c", "k")
-    a, b = posts.alias("a"), posts.alias("b")
-    near = F.least("a.size", "b.size") >= F.lit(least / (2 - least)) * F.greatest("a.size", "b.size") - 1e-9
-    pairs = a.join(b, (F.col("a.c") == F.col("b.c")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.key") < F.col("b.key")) & near).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
-    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-
-def _most_common(keys: np.ndarray, bins: int = 128) -> tuple[np.ndarray, np.ndarray]:
-    """For each key how often its characters fall into each of some bins, and its length: the sum of two keys' lesser counts is at least what they have in common."""
-    cps = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), "<u4")
-    size = np.fromiter(map(len, keys), np.int64, len(keys))
-    held = np.zeros((len(keys), bins), np.uint16)
-    np.add.at(held, (np.repeat(np.arange(len(keys)), size), cps * np.uint32(2654435761) >> np.uint32(25)), 1)
-    return held, size
-
-
-@F.pandas_udf(DoubleType())
-def ratio_from(candidate: pd.Series, known: pd.Series, least: pd.Series) -> pd.Series:
-    """difflib's ratio where its upper bounds reach ``least``, else null."""
-    a, b, t = candidate.to_numpy(), known.to_numpy(), least.to_numpy()
-    out = np.full(len(a), np.nan)
-    if not len(a):
-        return pd.Series(out)
-    keys, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-    held, size = _most_common(keys)
-    x, y = at[: len(a)], at[len(a) :]
-    both = np.minimum(held[x], held[y]).sum(axis=1)
-    may = np.flatnonzero(2 * both >= t * (size[x] + size[y]) - 1e-9)
-    matcher, last = SequenceMatcher(None), None
-    for k in may[np.argsort(y[may], kind="stable")].tolist():
-        if y[k] != last:
-            matcher.set_seq2(b[k])
-            last = y[k]
-        matcher.set_seq1(a[k])
-        if matcher.quick_ratio() >= t[k] and (r := matcher.ratio()) >= t[k]:
-            out[k] = r
-    return pd.Series(out).astype(object).where(~np.isnan(out), None)
+    own = rows.where(F.col(order).isNotNull()).select(F.col(key).alias("id"), F.col(order).alias("ord"), F.col(order).cast("long").alias("at"), match_key(F.col(title)).alias("key"))
+    own = durable(own.withColumn("key", F.min("key").over(Window.partitionBy(same_set("key")))), "own")
+    before = Window.partitionBy("key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    held = durable(own.groupBy("key", "at").agg(F.max("id").alias("k_id")).withColumn("match_id", F.max("k_id").over(before)).withColumn("later", F.count(F.lit(1)).over(before) > 0), "held")
+    known = held.where("NOT later OR match_id IS NULL OR k_id > match_id").select("key", F.col("at").alias("ord"), "k_id")
+    far = nearest(held.where("NOT later").select("key", F.col("at").alias("ord")), known, ["k_id"], least, False)
+    found = far.select("key", F.col("ord").alias("at"), "score", F.col("k_id").alias("match_id")).unionByName(held.where("later").select("key", "at", F.lit(1.0).alias("score"), "match_id"))
+    best = own.join(found, ["key", "at"]).groupBy("id", "ord").agg(F.max(F.struct("score", "match_id")).alias("x"))
+    return best.select(F.col("id").alias(key), F.col("ord").alias(order), "x.match_id", "x.score")
 
 
 def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> DataFrame:
@@ -115,22 +60,18 @@ def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> Data
     ones go to the greatest id, then title. Rows without a match of ``least`` or more are left out. Every row that comes before counts,
     whatever became of it, so no row waits for another. Keys meet once, however many rows have them.
     """
-    own = rows.select("id", "title", "ord", match_key(F.col("title")).alias("key"))
-    held = own.select("id", "title", "ord", "key").unionByName(known.select("id", "title", F.lit(None).cast(own.schema["ord"].dataType).alias("ord"), match_key(F.col("title")).alias("key")))
-    keys = durable(held.select("key").distinct(), "keys")
-    asked = own.select(F.col("key").alias("a")).distinct()
-    near = overlapping_keys(keys, least).unionByName(similar_keys(keys, least).select("a", "b")).join(asked, "a", "left_semi").distinct()
-    ratio = F.coalesce(ratio_from("a", "b", F.lit(least)), F.lit(0.0))
-    scored = near.withColumn("score", F.greatest(ratio, jaccard(bigrams(F.col("a")), bigrams(F.col("b"))))).where(F.col("score") >= least)
-    links = durable(scored.unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(1.0).alias("score"))), "links")
-    # Of each key: its greatest record that is always there, its first row, and the greatest record so far at each row.
-    asks = own.select("id", "ord", F.col("key").alias("a")).join(links, "a")
-    events = asks.select("b", "ord", F.lit(0).alias("kind"), F.lit(None).cast("struct<id:string,title:string>").alias("r"), "id", "score").unionByName(
-        held.select(F.col("key").alias("b"), "ord", F.lit(1).alias("kind"), F.struct(F.col("id").cast("string").alias("id"), "title").alias("r"), F.lit(None).cast(own.schema["id"].dataType).alias("id"), F.lit(None).cast("double").alias("score"))
-    )
-    so_far = F.max("r").over(Window.partitionBy("b").orderBy(F.col("ord").asc_nulls_first(), "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = events.withColumn("found", so_far).where("kind = 0 AND found IS NOT NULL")
-    best = met.groupBy("id").agg(F.max(F.struct("score", F.col("found.id").alias("match_id"), F.col("found.title").alias("match_title"))).alias("x"))
+    own = rows.select("id", "title", F.col("ord").cast("long").alias("ord"), match_key(F.col("title")).alias("key"))
+    held = own.unionByName(known.select("id", "title", F.lit(None).cast("long").alias("ord"), match_key(F.col("title")).alias("key")))
+    record = F.struct(F.col("id").cast("string").alias("id"), "title")
+    held = durable(held.groupBy("key", "ord").agg(F.max(record).alias("r")).withColumn("set", same_set("key")), "held")
+    before = lambda by: Window.partitionBy(by).orderBy(F.col("ord").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    # Rows after one of the same bigrams have no better match than these: only the others ask.
+    sets = held.groupBy("set", "ord").agg(F.max("r").alias("r")).withColumn("found", F.max("r").over(before("set"))).where("ord IS NOT NULL").select("set", "ord", "found")
+    asked = durable(held.where("ord IS NOT NULL").select("set", "key", "ord").join(sets, ["set", "ord"]), "asked")
+    records = held.withColumn("found", F.max("r").over(before("key"))).where("found IS NULL OR r > found").select("key", "ord", "r.id", "r.title")
+    far = nearest(asked.where("found IS NULL").select("key", "ord"), records, ["id", "title"], least, True)
+    found = far.select("key", "ord", "score", F.col("id").alias("match_id"), F.col("title").alias("match_title")).unionByName(asked.where("found IS NOT NULL").select("key", "ord", F.lit(1.0).alias("score"), F.col("found.id").alias("match_id"), F.col("found.title").alias("match_title")))
+    best = own.select("id", "key", "ord").join(found, ["key", "ord"]).groupBy("id").agg(F.max(F.struct("score", "match_id", "match_title")).alias("x"))
     return best.select("id", "x.*", F.round("x.score", 4).alias("rounded"))
 
 

@@ -6,6 +6,7 @@ import re
 import zipfile
 from datetime import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftloom.operators import records as R
@@ -282,3 +283,76 @@ def test_streams_append_every_batch(spark, tmp_path):
     spark.range(5, 9).coalesce(1).write.mode("append").parquet(str(land))
     stream = spark.readStream.schema("id LONG").option("maxFilesPerTrigger", "1").parquet(str(land))
     assert sorted(r["id"] for r in run_now(stream, f"appended-{tmp_path.name}", "append").collect()) == list(range(9))
+
+
+def _near_titles(rng, n):
+    bases = ["".join(rng.choice("如何在中断里喂看门狗并测量余量abc1") for _ in range(rng.choice((0, 1, 2, 9, 25, 63, 64, 90, 210)))) for _ in range(12)]
+    out = []
+    for _ in range(n):
+        t = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(t) + 1)
+            t[k : k + rng.randint(0, 2)] = rng.choice(["", "甲", "乙b", "😀"])
+        out.append("".join(t))
+    return out
+
+
+@pytest.mark.parametrize("by_sequence", [False, True])
+def test_nearest_over_blocks_as_brute_force(by_sequence):
+    from difflib import SequenceMatcher
+
+    import numpy as np
+
+    from siftloom.operators.nearest import Search
+
+    rng = random.Random(21)
+    keys, known = _near_titles(rng, 60), _near_titles(rng, 150)
+    ords, known_ords = [rng.randrange(40) for _ in keys], [rng.randrange(40) for _ in known]
+    records = [(rng.choice([None, "a", "b", "c"]), str(i)) for i in range(len(known))]
+    grams = lambda k: {k[i : i + 2] for i in range(len(k) - 1)} or {k}
+
+    def like(a, b):
+        j = len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+        return max(j, SequenceMatcher(None, a, b).ratio()) if by_sequence else j
+
+    s = Search(keys, np.array(ords), 0.62, by_sequence)
+    for lo in range(0, len(known), 40):  # blocks: the best so far is kept from one to the next
+        s.meet(known[lo : lo + 40], np.array(known_ords[lo : lo + 40]), records[lo : lo + 40])
+    for k, (a, o) in enumerate(zip(keys, ords)):
+        best = max(((like(a, b), (r[0] is not None, r[0] or ""), r[1]) for b, p, r in zip(known, known_ords, records) if p < o), default=(0,))
+        assert (s.found[k] is not None) == (best[0] >= 0.62)
+        if s.found[k]:
+            assert (s.best[k], s.found[k][0] or "", s.found[k][1]) == (best[0], best[1][1], best[2])
+
+
+def test_common_subsequence_as_by_rows():
+    import numpy as np
+
+    from siftloom.operators.nearest import common_subsequence
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc甲") for _ in range(rng.randint(0, 90))) for _ in range(80)]
+    cps = np.array([ord(c) for t in texts for c in t], np.uint64)
+    size = np.array([len(t) for t in texts])
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = last[j] + 1 if x == y else max(last[j + 1], row[j])
+        return row[-1]
+
+    for a in [t[:63] for t in texts[:25] if t]:
+        assert common_subsequence(a, cps, np.cumsum(size) - size, size).tolist() == [lcs(a, t) for t in texts]
+
+
+def test_titles_that_share_parts_make_no_pair_rows(spark):
+    # Each title has its rarest bigrams in common with every other, and none is similar: 1 125 000 pairs when they met by bigram.
+    rng = random.Random(5)
+    rows = [(f"i{k}", "岗位甲乙丙丁" + "".join(chr(0x4E00 + rng.randrange(8000)) for _ in range(12)), k) for k in range(1500)] + [("last", "无关", 9000)]
+    rows.append(("match", rows[7][1] + "终", 9001))
+    got = best_earlier(spark.createDataFrame(rows, "id STRING, t STRING, o LONG"), "id", "t", "o")
+    assert [(r["id"], r["match_id"]) for r in got.collect()] == [("match", "i7")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan or "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
