@@ -356,3 +356,24 @@ def test_titles_that_share_parts_make_no_pair_rows(spark):
     assert [(r["id"], r["match_id"]) for r in got.collect()] == [("match", "i7")]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan or "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sequence_ratio_query_as_brute_force(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from siftloom.plans.record_queries import q_sequence_ratio
+
+    rng = random.Random(12)
+    key = lambda t: "".join(c for c in t if c.isascii() and c.isalnum() or "一" <= c <= "鿿").lower()
+    grams = lambda k: {k[i : i + 2] for i in range(len(k) - 1)} or {k}
+    sim = lambda a, b: len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+    rows = [(f"s{k:03}", t, dt(2026, 1, 1 + k % 25)) for k, t in enumerate(_near_titles(rng, 120))]
+    spark.createDataFrame(rows, "id STRING, title STRING, added_at TIMESTAMP_NTZ").write.parquet(str(tmp_path / "sources.parquet"))
+    want = {}
+    for i, t, o in rows:
+        best = max(((sim(key(t), key(u)), j, u) for j, u, p in rows if p < o), default=(0,))
+        if best[0] >= 0.62:
+            ratio = SequenceMatcher(None, key(t), key(best[2])).ratio()
+            want[i] = (best[1], round(best[0], 6), round(ratio, 6))
+    got = q_sequence_ratio(spark, str(tmp_path))
+    assert {r["id"]: (r["match_id"], r["jaccard"], r["ratio"]) for r in got.collect()} == want
