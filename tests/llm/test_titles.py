@@ -192,6 +192,39 @@ def test_heavy_lists_are_parted(spark, monkeypatch):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_long_lists_lose_no_pair():
+    # All of a list meet that are not too large for each other.
+    n = 80
+    key, rep, bits = np.full(n, 7, np.int64), np.arange(n), np.zeros(n, np.uint64)
+    want = {(i, j) for j in range(n) for i in range(j)}
+    assert set(zip(*(x.tolist() for x in overlaps(key, np.full(n, 50, np.uint64), rep, bits, 32)))) == want
+    rng = random.Random(4)
+    size = np.sort(np.array([rng.randint(5, 90) for _ in range(n)]))
+    want = {(i, j) for j in range(n) for i in range(j) if size[i] >= 0.7 * size[j] - 1e-9}
+    assert set(zip(*(x.tolist() for x in overlaps(key, size.astype(np.uint64), rep, bits)))) == want
+
+
+def test_titles_of_one_long_list_meet():
+    # 120 titles share all but their last words: every list that two of them share is longer than 32.
+    rng = random.Random(8)
+    stem = "如何估算以太网从机模式的余量并解释硬件原因再给出验证办法"
+    forms = sorted({stem + "".join(chr(0x4E00 + rng.randrange(6000)) for _ in range(4)) for _ in range(120)})
+    text, key, tail, bits = postings(forms, np.zeros(len(forms), np.int64))
+    o = np.lexsort((tail, key))
+    got = set(zip(*(x.tolist() for x in overlaps(key[o], tail[o], text[o], bits[o]))))
+    assert got >= {(i, j) for j, b in enumerate(forms) for i, a in enumerate(forms[:j]) if similarity(a, b) >= 0.7}
+
+
+@pytest.mark.parametrize("split", [3, 40])
+def test_heavy_lists_in_blocks_lose_no_pair(spark, monkeypatch, split):
+    monkeypatch.setattr(near_duplicates_module, "SAMPLE", 1)
+    monkeypatch.setattr(near_duplicates_module, "HEAVY", 5)
+    monkeypatch.setattr(near_duplicates_module, "SPLIT", split)
+    rows = [(0, f"i{k:04}", t) for k, t in enumerate(_titles(2, 40))]
+    got = {tuple(r) for r in pairs_of(*near_duplicates(spark.createDataFrame(rows, "part LONG, id STRING, title STRING"))).collect()}
+    assert got == brute_pairs(rows)
+
+
 def test_classes(spark):
     long = "如何估算以太网从机模式的余量并解释硬件原因"
     rows = [(0, "a", long), (0, "b", long + "？"), (0, "c", long + "呢"), (0, "d", "别的"), (1, "a", long), (0, "a", long)]
