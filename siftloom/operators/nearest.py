@@ -1,14 +1,14 @@
 """The most similar earlier key of each key, exactly, without a row for a pair.
 
-The keys that ask are dealt to as many tasks as there are cores for, and the known ones stream through each of them. A set is held as
-bits that tell which places an odd number of its elements fall on; two sets differ in no more bits than elements, so the
-bits of a pair bound its similarity from above. A key is compared in the order of that bound, and ends where the bound falls
+The keys that ask are dealt to groups and the known ones to parts, a task for each group and part; of a task's best matches the
+best of all parts is kept. A set is held as bits that tell which places an odd number of its elements fall on; two sets differ in no
+more bits than elements, so the bits of a pair bound its similarity from above. A few asking keys at a time are held against all
+known of a class of sizes by these bits, and what is left is compared in the order of that bound, which ends where the bound falls
 below the best found: none that could be the best or equal to it is left out.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
@@ -19,19 +19,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 #: Known keys that a task holds at a time, and asking ones that it holds throughout.
-BLOCK, ASKS = 1 << 16, 1 << 14
+BLOCK, ASKS = 1 << 15, 1 << 15
+#: Known keys of a class of sizes, asking keys held against them at once, and pairs compared at once.
+CLASS, TILE, PAIRS = 1 << 11, 32, 1 << 12
 _ALWAYS = np.iinfo(np.int64).min
 _EPS = 1e-9
-# Similarities for which each known key has its share worked out.
-_STEPS = (0.7, 0.8, 0.9)
 
 
-def _jaccard_share(least: float) -> float:
+def _jaccard_share(least: np.ndarray) -> np.ndarray:
     """What two sets of this Jaccard similarity differ by at most, as a share of both sizes."""
     return (1 - least) / (1 + least)
 
 
-def _ratio_share(least: float) -> float:
+def _ratio_share(least: np.ndarray) -> np.ndarray:
     return 1 - least
 
 
@@ -41,25 +41,49 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _bits(n: int, full: np.ndarray, at: np.ndarray, h: np.ndarray, words: int) -> np.ndarray:
+    """For each set the places of an odd number of its elements, in ``words`` words; a row for a word."""
+    out = np.zeros((words, n), np.uint64)
+    if len(full):
+        bit, word = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(6) & np.uint64(255)) % np.uint64(words)
+        for w in range(words):
+            out[w, full] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at)
+    return out
+
+
 class Sets:
-    """Sets of numbers of a block of keys: ``start`` and ``size`` of each in ``items``, and the bits of each, 64 and 256."""
+    """Sets of numbers of a block of keys: ``start`` and ``size`` of each in ``items``, and the bits of each, few (``near``) and 256 (``far``)."""
 
-    def __init__(self, n: int, row: np.ndarray, items: np.ndarray):
+    def __init__(self, n: int, row: np.ndarray, items: np.ndarray, words: int):
         self.items, self.size = items, np.bincount(row, minlength=n)
         self.start = np.concatenate(([0], np.cumsum(self.size)[:-1])).astype(np.int64) if n else np.empty(0, np.int64)
         full = np.flatnonzero(self.size)
         h = _mix(items + np.uint64(0x9E3779B97F4A7C15))
-        self.near, self.far = np.zeros(n, np.uint64), np.zeros((n, 4), np.uint64)
-        if len(full):
-            at = self.start[full]
-            self.near[full] = np.bitwise_xor.reduceat(np.uint64(1) << (h >> np.uint64(58)), at)
-            bit, word = np.uint64(1) << (h >> np.uint64(32) & np.uint64(63)), h >> np.uint64(40) & np.uint64(3)
-            for w in range(4):
-                self.far[full, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at)
+        self.near = _bits(n, full, self.start[full], h >> np.uint64(40), words)
+        self.far = np.ascontiguousarray(_bits(n, full, self.start[full], h, 4).T)
+
+    def held(self, of: np.ndarray, known: Sets, group: np.ndarray, groups: int) -> np.ndarray:
+        """How many elements of each of the sets ``of`` any known set of each group has."""
+        if not hasattr(self, "numbers"):
+            self.numbers, self.item = np.unique(self.items, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.numbers, known.items), len(self.numbers) - 1)
+        ok = self.numbers[at] == known.items
+        has = np.zeros((groups, len(self.numbers)), bool)
+        has[np.repeat(group, known.size)[ok], at[ok]] = True
+        full = np.flatnonzero(self.size)
+        out = np.zeros((len(self.size), groups), np.int32)
+        for g in range(groups):
+            out[full, g] = np.add.reduceat(has[g][self.item], self.start[full], dtype=np.int32)
+        return out[of]
+
+
+def _first(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array's runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.empty(0, np.int64)
 
 
 class Keys:
-    """A block of keys with their code points, sets of bigrams and, if asked, of characters counted with repeats."""
+    """A block of keys, a million at most, with their code points, sets of bigrams and, if asked, of characters counted with repeats."""
 
     def __init__(self, keys: list[str], by_sequence: bool):
         n = len(keys)
@@ -67,45 +91,63 @@ class Keys:
         self.cps = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         self.len = np.fromiter(map(len, keys), np.int64, n)
         self.start = np.cumsum(self.len) - self.len
-        row = np.repeat(np.arange(n), self.len)
+        row = np.repeat(np.arange(n, dtype=np.uint64), self.len)
         pair = row[1:] == row[:-1]
         short = np.flatnonzero(self.len < 2)
         # A key of fewer than two characters is its own only bigram; no pair of characters has such a number.
         alone = np.uint64(1 << 42) + np.array([ord(keys[k]) + 1 if keys[k] else 0 for k in short.tolist()], np.uint64)
-        r = np.concatenate((row[1:][pair], short))
-        g = np.concatenate(((self.cps[:-1] << np.uint64(21) | self.cps[1:])[pair], alone))
-        order = np.lexsort((g, r))
-        r, g = r[order], g[order]
-        fresh = np.ones(len(g), bool)
-        fresh[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
-        self.grams = Sets(n, r[fresh], g[fresh])
+        grams = (row[1:] << np.uint64(43) | self.cps[:-1] << np.uint64(21) | self.cps[1:])[pair]
+        x = np.sort(np.concatenate((grams, short.astype(np.uint64) << np.uint64(43) | alone)))
+        x = x[_first(x)]
+        self.grams = Sets(n, (x >> np.uint64(43)).astype(np.int64), x & np.uint64((1 << 43) - 1), 1)
         if by_sequence:
-            order = np.lexsort((self.cps, row))
-            c, r = self.cps[order], row[order]
-            first = np.ones(len(c), bool)
-            first[1:] = (c[1:] != c[:-1]) | (r[1:] != r[:-1])
-            run = np.flatnonzero(first)
-            nth = np.arange(len(c)) - run[np.cumsum(first) - 1] if len(c) else np.empty(0, np.int64)
-            self.chars = Sets(n, r, c << np.uint64(32) | nth.astype(np.uint64))
+            x = np.sort(row << np.uint64(21) | self.cps)
+            run = _first(x)
+            nth = np.arange(len(x)) - np.repeat(run, np.diff(run, append=len(x)))
+            self.chars = Sets(n, (x >> np.uint64(21)).astype(np.int64), (x & np.uint64((1 << 21) - 1)) << np.uint64(32) | nth.astype(np.uint64), 4)
+
+
+class Places:
+    """Where each character stands in each key of up to 63 characters, as bits."""
+
+    def __init__(self, size: np.ndarray, cps: np.ndarray):
+        row = np.repeat(np.arange(len(size), dtype=np.uint64), size)
+        pos = (np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)).astype(np.uint64)
+        held = np.repeat(size < 64, size)
+        x = np.sort((row << np.uint64(27) | cps << np.uint64(6) | pos)[held])
+        char = x >> np.uint64(6)
+        first = _first(char)
+        # The last is above all that is looked up.
+        self.char = np.append(char[first], np.uint64((1 << 64) - 1))
+        bits = np.uint64(1) << (x & np.uint64(63))
+        self.bits = np.append(np.bitwise_or.reduceat(bits, first) if len(first) else bits, np.uint64(0))
+        self.size = size
+
+    def common(self, k: np.ndarray, cps: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of each of the keys ``k`` and the text beside it."""
+        order = np.argsort(-size, kind="stable")
+        k, start, size = k[order], start[order], size[order]
+        n = int(size.max(initial=0))
+        row = np.repeat(np.arange(len(size)), size)
+        pos = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        char = k.astype(np.uint64)[row] << np.uint64(21) | cps[start[row] + pos]
+        at = np.searchsorted(self.char, char)
+        masks = np.zeros((n, len(size)), np.uint64)
+        masks[pos, row] = np.where(self.char[at] == char, self.bits[at], np.uint64(0))
+        v = np.full(len(size), (1 << 64) - 1, np.uint64)
+        for m, live in zip(masks, np.searchsorted(-size, -np.arange(n), "left").tolist()):
+            w = v[:live]
+            u = w & m[:live]
+            v[:live] = (w + u) | (w - u)
+        out = np.empty(len(size), np.int64)
+        out[order] = np.bitwise_count(~v & ((np.uint64(1) << self.size[k].astype(np.uint64)) - np.uint64(1)))
+        return out
 
 
 def common_subsequence(a: str, cps: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Length of the longest common subsequence of ``a``, of 63 characters at most, and each of the given texts."""
     own = np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    chars, which = np.unique(own, return_inverse=True)
-    masks = np.zeros(len(chars) + 1, np.uint64)
-    np.bitwise_or.at(masks, which, np.uint64(1) << np.arange(len(own), dtype=np.uint64))
-    row = np.repeat(np.arange(len(size)), size)
-    pos = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    c = cps[np.repeat(start, size) + pos]
-    at = np.minimum(np.searchsorted(chars, c), len(chars) - 1)
-    held = np.zeros((int(size.max(initial=0)), len(size)), np.uint64)
-    held[pos, row] = np.where(chars[at] == c, masks[at], np.uint64(0))
-    v = np.full(len(size), (1 << 64) - 1, np.uint64)
-    for m in held:
-        u = v & m
-        v = (v + u) | (v - u)
-    return np.bitwise_count(~v & np.uint64((1 << len(own)) - 1)).astype(np.int64)
+    return Places(np.array([len(a)]), own).common(np.zeros(len(size), np.int64), cps, start, size)
 
 
 class Search:
@@ -115,40 +157,88 @@ class Search:
         self.own, self.ords, self.by_sequence = Keys(keys, by_sequence), ords, by_sequence
         self.best = np.full(len(keys), least)
         self.found: list[tuple | None] = [None] * len(keys)
-        self.least = least
+        if by_sequence:
+            self.places = Places(self.own.len, self.own.cps)
+        n = TILE * CLASS
+        self.buffers = np.empty(n, np.uint64), np.empty(n, np.uint8), np.empty(n, np.uint8), np.empty(n + 8, bool)
 
     def meet(self, keys: list[str], ords: np.ndarray, records: list[tuple]) -> None:
-        order = np.argsort(ords, kind="stable")
-        self.records = [records[i] for i in order.tolist()]
-        self.known = Keys([keys[i] for i in order.tolist()], self.by_sequence)
-        ends = np.searchsorted(ords[order], self.ords, "left")
-        self.steps = [self.least, *(s for s in _STEPS if s > self.least)]
-        self.most = {(sets, s): np.minimum(np.ceil(share(s) * sets.size + _EPS), 100).astype(np.uint8) for sets, share in ((self.known.grams, _jaccard_share), *(((self.known.chars, _ratio_share),) if self.by_sequence else ())) for s in self.steps}
-        # One numbering of bigrams for both sides, to mark those of an asking key.
-        vocabulary = np.unique(self.own.grams.items)
-        at = np.searchsorted(vocabulary, self.known.grams.items)
-        self.item = np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == self.known.grams.items, at, len(vocabulary))
-        self.own_item = np.searchsorted(vocabulary, self.own.grams.items)
-        self.marked = np.zeros(len(vocabulary) + 1, bool)
-        for k in np.flatnonzero(ends).tolist():
-            self._by_bigrams(k, int(ends[k]))
-            if self.by_sequence:
-                self._by_sequence(k, int(ends[k]))
-
-    def _may(self, own: Sets, known: Sets, k: int, end: int, share: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the first ``end`` known those that may reach the best so far, by their bits; the bits' difference and the sizes' sum."""
-        size, best = own.size[k], self.best[k]
-        # Every known is held against a step below the best, whose share of its size is known; the few left against the best itself.
-        step = self.steps[max(bisect_right(self.steps, best) - 1, 0)]
-        most = np.uint8(min(int(np.ceil(share(step) * size + _EPS)), 100))
-        at = np.flatnonzero(np.bitwise_count(known.near[:end] ^ own.near[k]) <= self.most[known, step][:end] + most)
-        both = known.size[at] + size
-        differ = np.maximum(np.bitwise_count(known.near[at] ^ own.near[k]).astype(np.int64), np.abs(known.size[at] - size))
-        ok = differ <= share(best) * both + _EPS
-        at, differ, both = at[ok], differ[ok], both[ok]
-        differ = np.maximum(differ, np.bitwise_count(known.far[at] ^ own.far[k]).sum(axis=1, dtype=np.int64))
-        ok = differ <= share(best) * both + _EPS
-        return at[ok], differ[ok], both[ok]
+        self.records, self.known = records, Keys(keys, self.by_sequence)
+        self._scan(self.own.grams, self.known.grams, ords, _jaccard_share, self._by_bigrams)
+        if self.by_sequence:
+            self._scan(self.own.chars, self.known.chars, ords, _ratio_share, self._by_sequence)
+
+    def _scan(self, own: Sets, known: Sets, ords: np.ndarray, share: Callable, compare: Callable) -> None:
+        """Hand the pairs that may reach the best so far to ``compare``: asking keys by size, a tile at a time, against classes of known of about one size."""
+        n = len(known.size)
+        asks = np.flatnonzero(own.size)
+        if not n or not len(asks):
+            return
+        asks = asks[np.lexsort((self.ords[asks], own.size[asks]))]
+        place = np.empty(n, np.int64)
+        place[np.argsort(known.size, kind="stable")] = np.arange(n)
+        order = np.lexsort((ords, place // CLASS))
+        size, near, far, came = known.size[order], known.near[:, order], known.far[order], ords[order]
+        cuts = np.arange(0, n, CLASS)
+        low, high = np.minimum.reduceat(size, cuts), np.maximum.reduceat(size, cuts)
+        ends = np.stack([np.searchsorted(came[c : c + CLASS], self.ords[asks], "left") for c in cuts.tolist()], axis=1)
+        reach = own.held(asks, known, place // CLASS, len(cuts))
+        for t in range(0, len(asks), TILE):
+            k = asks[t : t + TILE]
+            s, part, end = own.size[k], share(self.best[k]), ends[t : t + TILE]
+            most = part[:, None] * (s[:, None] + high) + _EPS
+            apart = np.maximum(low - s[:, None], s[:, None] - high)
+            # The least that a pair of this class has in common rises with the known one's size.
+            may = (apart <= most) & ((1 - part[:, None]) * (s[:, None] + low) <= 2 * reach[t : t + TILE] + _EPS)
+            end = np.where(may, end, 0)
+            upto, most = end.max(axis=0), np.minimum(most, 255).astype(np.uint8)
+            mine, pairs = own.near[:, k, None], []
+            for c in np.flatnonzero(upto).tolist():
+                rows = np.flatnonzero(end[:, c])
+                i, j = self._near(mine[:, rows], near[:, c * CLASS : c * CLASS + upto[c]], most[rows, c, None])
+                if len(i):
+                    i = rows[i]
+                    ok = j < end[i, c]
+                    i, j = i[ok], j[ok] + c * CLASS
+                    both = s[i] + size[j]
+                    differ = np.maximum(np.bitwise_count(far[j] ^ own.far[k[i]]).sum(axis=1, dtype=np.int64), np.abs(size[j] - s[i]))
+                    ok = differ <= part[i] * both + _EPS
+                    pairs.append((k[i[ok]], order[j[ok]], differ[ok], both[ok]))
+            if pairs and sum(len(x[0]) for x in pairs):
+                self._compared(*(np.concatenate(x) for x in zip(*pairs)), compare)
+
+    def _near(self, mine: np.ndarray, near: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where bits differ in no more than ``most`` places."""
+        a, b = mine.shape[1], near.shape[1]
+        x, count, more, few = (y[: a * b].reshape(a, b) for y in self.buffers)
+        np.bitwise_count(np.bitwise_xor(mine[0], near[0], out=x), out=count)
+        for w in range(1, len(near)):
+            np.bitwise_count(np.bitwise_xor(mine[w], near[w], out=x), out=more)
+            np.add(count, more, out=count)
+        np.less_equal(count, most, out=few)
+        flat = self.buffers[3][: -(-a * b // 8) * 8]
+        flat[a * b :] = False
+        at = (np.flatnonzero(flat.view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+        return np.divmod(at[flat[at]], b)
+
+    def _compared(self, k: np.ndarray, at: np.ndarray, differ: np.ndarray, both: np.ndarray, compare: Callable) -> None:
+        """The pairs of each asking key by the bound on their similarity, more at a time the longer it goes on, as long as it is no less than the best."""
+        bound = (both - differ) / (both + differ) if compare == self._by_bigrams else 1 - differ / both
+        order = np.lexsort((-bound, k))
+        k, at, bound, both = k[order], at[order], bound[order], both[order]
+        first = _first(k)
+        place = np.arange(len(k)) - np.repeat(first, np.diff(first, append=len(k)))
+        upto, step = 64, 64
+        while len(k):
+            may, now = bound >= self.best[k] - _EPS, place < upto
+            part = np.flatnonzero(may & now)
+            for lo in range(0, len(part), PAIRS):
+                x = part[lo : lo + PAIRS]
+                compare(k[x], at[x], bound[x], both[x])
+            left = may & ~now
+            k, at, bound, both, place = k[left], at[left], bound[left], both[left], place[left]
+            step *= 4
+            upto += step
 
     def _take(self, k: int, at: np.ndarray, score: np.ndarray) -> None:
         top = score.max(initial=-1.0)
@@ -160,51 +250,29 @@ class Search:
                 self.found[k] = r
             self.best[k] = top
 
-    def _by_bigrams(self, k: int, end: int) -> None:
-        own, known = self.own.grams, self.known.grams
-        at, differ, both = self._may(own, known, k, end, _jaccard_share)
-        if not len(at):
-            return
-        bound = (both - differ) / (both + differ)
-        order = np.argsort(-bound, kind="stable")
-        at, bound, both = at[order], bound[order], both[order]
-        mine = self.own_item[own.start[k] : own.start[k] + own.size[k]]
-        self.marked[mine] = True
-        lo, step = 0, 64
-        while lo < len(at) and bound[lo] >= self.best[k] - _EPS:
-            part = at[lo : lo + step]
-            size = known.size[part]
-            first = np.cumsum(size) - size
-            hit = self.marked[self.item[np.repeat(known.start[part] - first, size) + np.arange(first[-1] + size[-1])]]
-            shared = np.add.reduceat(hit, first, dtype=np.int64)
-            self._take(k, part, shared / (both[lo : lo + step] - shared))
-            lo, step = lo + step, step * 4
-        self.marked[mine] = False
-
-    def _by_sequence(self, k: int, end: int) -> None:
-        key, known = self.own.keys[k], self.known
-        if not key:
-            return
-        at, differ, both = self._may(self.own.chars, known.chars, k, end, _ratio_share)
-        if not len(at):
-            return
-        bound = 1 - differ / both
-        order = np.argsort(-bound, kind="stable")
-        at, bound, both = at[order], bound[order], both[order]
-        lo, step = 0, 64
-        while lo < len(at) and bound[lo] >= self.best[k] - _EPS:
-            part, most, total = at[lo : lo + step], bound[lo : lo + step], both[lo : lo + step]
-            ok = most >= self.best[k] - _EPS
-            part, most, total = part[ok], most[ok], total[ok]
-            if len(key) < 64:
-                # Matching blocks are a common subsequence.
-                most = 2 * common_subsequence(key, known.cps, known.start[part], known.len[part]) / total
-            for i in np.argsort(-most, kind="stable").tolist():
-                if most[i] < self.best[k] - _EPS:
-                    break
-                score = SequenceMatcher(None, key, known.keys[part[i]]).ratio()
-                self._take(k, part[i : i + 1], np.array([score]))
-            lo, step = lo + step, step * 4
+    def _by_bigrams(self, k: np.ndarray, at: np.ndarray, bound: np.ndarray, both: np.ndarray) -> None:
+        def items(sets: Sets, of: np.ndarray) -> np.ndarray:
+            size = sets.size[of]
+            row = np.repeat(np.arange(len(of)), size)
+            return row.astype(np.uint64) << np.uint64(43) | sets.items[np.arange(len(row)) + np.repeat(sets.start[of] - np.cumsum(size) + size, size)]
+
+        x = np.sort(np.concatenate((items(self.own.grams, k), items(self.known.grams, at))))
+        shared = np.bincount((x[1:][x[1:] == x[:-1]] >> np.uint64(43)).astype(np.int64), minlength=len(k))
+        score = shared / (both - shared)
+        cuts = [*_first(k).tolist(), len(k)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            self._take(int(k[lo]), at[lo:hi], score[lo:hi])
+
+    def _by_sequence(self, k: np.ndarray, at: np.ndarray, bound: np.ndarray, both: np.ndarray) -> None:
+        known, most = self.known, bound.copy()
+        x = np.flatnonzero(self.own.len[k] < 64)
+        # Matching blocks are a common subsequence.
+        most[x] = 2 * self.places.common(k[x], known.cps, known.start[at[x]], known.len[at[x]]) / both[x]
+        x = np.flatnonzero(most >= self.best[k] - _EPS)
+        for i in x[np.lexsort((-most[x], k[x]))].tolist():
+            if most[i] >= self.best[k[i]] - _EPS:
+                score = SequenceMatcher(None, self.own.keys[k[i]], known.keys[at[i]]).ratio()
+                self._take(int(k[i]), at[i : i + 1], np.array([score]))
 
 
 def _after(a: tuple, b: tuple) -> bool:
@@ -213,6 +281,16 @@ def _after(a: tuple, b: tuple) -> bool:
     return full(a) > full(b)
 
 
+class _Records:
+    """The rows of some columns, made when they are asked for."""
+
+    def __init__(self, columns: list[pa.ChunkedArray]):
+        self.columns = [c.combine_chunks() for c in columns]
+
+    def __getitem__(self, i: int) -> tuple:
+        return tuple(c[i].as_py() for c in self.columns)
+
+
 def _searched(fields: list[str], least: float, by_sequence: bool, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, asks, search, held, n = None, [], None, [], 0
@@ -224,7 +302,7 @@ def _searched(fields: list[str], least: float, by_sequence: bool, schema: pa.Sch
                 search = Search(t.column("key").to_pylist(), t.column("ord").to_numpy(), least, by_sequence)
             if held and search is not None:
                 t = pa.Table.from_batches(held)
-                search.meet(t.column("key").to_pylist(), t.column("ord").fill_null(_ALWAYS).to_numpy(), list(zip(*(t.column(f).to_pylist() for f in fields))))
+                search.meet(t.column("key").to_pylist(), t.column("ord").fill_null(_ALWAYS).to_numpy(), _Records([t.column(f) for f in fields]))
             held, n = [], 0
 
         def result() -> Iterator[pa.RecordBatch]:
@@ -264,11 +342,16 @@ def nearest(asks: DataFrame, known: DataFrame, fields: list[str], least: float,
     """
     spark = asks.sparkSession
     n = asks.count()
-    chunks = max(min(-(-n // 256), 2 * spark.sparkContext.defaultParallelism), -(-n // ASKS), 1)
+    groups = max(-(-n // ASKS), 1)
+    parts = max(min(-(-n // 256), -(-2 * spark.sparkContext.defaultParallelism // groups)), 1)
     fields_of = [known.schema[f] for f in fields]
-    rows = asks.select(F.pmod(F.xxhash64("key", "ord"), F.lit(chunks)).cast("int").alias("chunk"), F.lit(0).alias("kind"), "key", "ord", *(F.lit(None).cast(f.dataType).alias(f.name) for f in fields_of)).unionByName(
-        known.select(F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(1).alias("kind"), "key", F.col("ord").cast("long").alias("ord"), *fields)
+    dealt = lambda n: F.pmod(F.xxhash64("key", "ord"), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = asks.select("key", "ord", dealt(groups).alias("g"), each(parts).alias("p"), F.lit(0).alias("kind"), *(F.lit(None).cast(f.dataType).alias(f.name) for f in fields_of)).unionByName(
+        known.select("key", F.col("ord").cast("long").alias("ord"), each(groups).alias("g"), dealt(parts).alias("p"), F.lit(1).alias("kind"), *fields)
     )
+    rows = rows.withColumn("chunk", F.col("g") * parts + F.col("p")).drop("g", "p")
     out = "key STRING, ord BIGINT, score DOUBLE, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields_of)
     schema = to_arrow_schema(StructType.fromDDL(out))
-    return rows.repartitionById(chunks, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_searched(fields, least, by_sequence, schema), out)
+    found = rows.repartitionById(groups * parts, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_searched(fields, least, by_sequence, schema), out)
+    return found.groupBy("key", "ord").agg(F.max(F.struct("score", *fields)).alias("x")).select("key", "ord", "x.*")

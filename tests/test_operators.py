@@ -389,3 +389,34 @@ def test_best_similar_of_titles_with_common_characters(spark):
     last = got[rows[-1][0]]
     assert (last["match_id"], last["match_title"]) == ("q", rows[-1][1] + "吗")
     assert last["score"] == 60 / 61
+
+
+def test_known_without_enough_in_common_are_not_compared(monkeypatch):
+    import numpy as np
+
+    from siftloom.operators import nearest
+
+    held = []
+    near = nearest.Search._near
+    monkeypatch.setattr(nearest.Search, "_near", lambda self, mine, known, most: held.append(mine.shape[1] * known.shape[1]) or near(self, mine, known, most))
+    rng = random.Random(14)
+    word = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    asks, known = [word("岗位面试题整理", 24) for _ in range(40)], [word("时钟总线中断寄存器", 24) + "岗位面" for _ in range(3000)]
+    s = nearest.Search(asks, np.arange(40), 0.62, True)
+    s.meet(known + [asks[3] + "终"], np.full(3001, -1), [(str(i),) for i in range(3001)])
+    assert [k for k, r in enumerate(s.found) if r] == [3] and s.found[3] == ("3000",) and s.best[3] == 48 / 49
+    # 40 x 3001 by bigrams and as many by characters, were each asking key held against each known.
+    assert sum(held) < 40 * 3001
+
+
+@pytest.mark.parametrize("by_sequence", [False, True])
+def test_nearest_is_the_best_of_all_parts(spark, monkeypatch, by_sequence):
+    from siftloom.operators import nearest
+
+    monkeypatch.setattr(nearest, "ASKS", 300)
+    rng = random.Random(15)
+    keys = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(20)) for _ in range(700)]
+    asks = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key STRING, ord LONG")
+    more = [(k + end, None if end != "丁" else i, r) for i, k in enumerate(keys) for end, r in (("甲", f"a{i}"), ("乙", f"b{i}"), ("丙丙丙", f"c{i}"), ("丁", f"d{i}"), ("戊", None))]
+    got = nearest.nearest(asks, spark.createDataFrame(more, "key STRING, ord LONG, r STRING"), ["r"], 0.62, by_sequence)
+    assert sorted(map(tuple, got.collect())) == sorted((k, i, 40 / 41 if by_sequence else 19 / 20, f"b{i}") for i, k in enumerate(keys))
