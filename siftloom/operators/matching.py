@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import bigrams, jaccard, match_key, sequence_ratio
+from ..functions.text import bigrams, jaccard, likeness, match_key
 from ..session import durable
 from .nearest import nearest
 
@@ -76,9 +76,13 @@ def best_similar(rows: DataFrame, known: DataFrame, least: float = SAME) -> Data
 
 
 def with_ratio(pairs: DataFrame, candidate: str, known: str) -> DataFrame:
-    """pairs with ratio (of the sequence, candidate first) and similarity, the greater of it and the Jaccard similarity, and its rounding to four places."""
-    a, b = match_key(F.col(candidate)), match_key(F.col(known))
-    out = pairs.withColumn("jaccard", jaccard(bigrams(a), bigrams(b))).withColumn("ratio", sequence_ratio(a, b))
+    """pairs with ratio (of the sequence, candidate first) and similarity, the greater of it and the Jaccard similarity, and its rounding to four places.
+
+    Pairs of the same keys come to the same task and are compared once a batch.
+    """
+    keyed = pairs.withColumns({"_a": match_key(F.col(candidate)), "_b": match_key(F.col(known))})
+    keyed = keyed.repartition(2 * pairs.sparkSession.sparkContext.defaultParallelism, "_a", "_b")
+    out = keyed.withColumn("_x", likeness("_a", "_b")).withColumns({"jaccard": F.col("_x.jaccard"), "ratio": F.col("_x.ratio")}).drop("_a", "_b", "_x")
     return out.withColumn("similarity", F.greatest("jaccard", "ratio")).withColumn("rounded", F.round("similarity", 4))
 
 

@@ -20,8 +20,8 @@ from pyspark.sql.types import StructType
 
 #: Known keys that a task holds at a time, and asking ones that it holds throughout.
 BLOCK, ASKS = 1 << 15, 1 << 15
-#: Known keys of a class of sizes, asking keys held against them at once, and pairs compared at once.
-CLASS, TILE, PAIRS = 1 << 11, 32, 1 << 12
+#: Known keys of a class of sizes at most, asking keys held against them at once, and pairs compared at once.
+CLASS, TILE, PAIRS = 1 << 12, 1 << 6, 1 << 12
 _ALWAYS = np.iinfo(np.int64).min
 _EPS = 1e-9
 
@@ -175,14 +175,15 @@ class Search:
         if not n or not len(asks):
             return
         asks = asks[np.lexsort((self.ords[asks], own.size[asks]))]
+        width = min(CLASS, max(-(-n // 8), 256))
         place = np.empty(n, np.int64)
         place[np.argsort(known.size, kind="stable")] = np.arange(n)
-        order = np.lexsort((ords, place // CLASS))
+        order = np.lexsort((ords, place // width))
         size, near, far, came = known.size[order], known.near[:, order], known.far[order], ords[order]
-        cuts = np.arange(0, n, CLASS)
+        cuts = np.arange(0, n, width)
         low, high = np.minimum.reduceat(size, cuts), np.maximum.reduceat(size, cuts)
-        ends = np.stack([np.searchsorted(came[c : c + CLASS], self.ords[asks], "left") for c in cuts.tolist()], axis=1)
-        reach = own.held(asks, known, place // CLASS, len(cuts))
+        ends = np.stack([np.searchsorted(came[c : c + width], self.ords[asks], "left") for c in cuts.tolist()], axis=1)
+        reach = own.held(asks, known, place // width, len(cuts))
         for t in range(0, len(asks), TILE):
             k = asks[t : t + TILE]
             s, part, end = own.size[k], share(self.best[k]), ends[t : t + TILE]
@@ -195,11 +196,11 @@ class Search:
             mine, pairs = own.near[:, k, None], []
             for c in np.flatnonzero(upto).tolist():
                 rows = np.flatnonzero(end[:, c])
-                i, j = self._near(mine[:, rows], near[:, c * CLASS : c * CLASS + upto[c]], most[rows, c, None])
+                i, j = self._near(mine[:, rows], near[:, c * width : c * width + upto[c]], most[rows, c, None])
                 if len(i):
                     i = rows[i]
                     ok = j < end[i, c]
-                    i, j = i[ok], j[ok] + c * CLASS
+                    i, j = i[ok], j[ok] + c * width
                     both = s[i] + size[j]
                     differ = np.maximum(np.bitwise_count(far[j] ^ own.far[k[i]]).sum(axis=1, dtype=np.int64), np.abs(size[j] - s[i]))
                     ok = differ <= part[i] * both + _EPS

@@ -420,3 +420,34 @@ def test_nearest_is_the_best_of_all_parts(spark, monkeypatch, by_sequence):
     more = [(k + end, None if end != "丁" else i, r) for i, k in enumerate(keys) for end, r in (("甲", f"a{i}"), ("乙", f"b{i}"), ("丙丙丙", f"c{i}"), ("丁", f"d{i}"), ("戊", None))]
     got = nearest.nearest(asks, spark.createDataFrame(more, "key STRING, ord LONG, r STRING"), ["r"], 0.62, by_sequence)
     assert sorted(map(tuple, got.collect())) == sorted((k, i, 40 / 41 if by_sequence else 19 / 20, f"b{i}") for i, k in enumerate(keys))
+
+
+def test_ratios_of_equal_pairs_are_worked_out_once(spark):
+    from difflib import SequenceMatcher
+
+    from siftloom.functions import text
+    from siftloom.operators.matching import with_ratio
+
+    rng = random.Random(16)
+    titles = _near_titles(rng, 40) + ["a" * 199, "ab" * 150, "A,b" * 150, "", None]
+    key = lambda t: "".join(c for c in t or "" if c.isascii() and c.isalnum() or "一" <= c <= "鿿").lower()
+    grams = lambda k: {k[i : i + 2] for i in range(len(k) - 1)} or {k}
+    rows = [(a, b) for a in titles for b in titles] * 2
+    got = with_ratio(spark.createDataFrame(rows, "t STRING, u STRING"), "t", "u")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan, "bigrams row by row, with the key worked out for each"
+    assert got.count() == len(rows)
+    for r in got.distinct().collect():
+        a, b = key(r["t"]), key(r["u"])
+        want = len(grams(a) & grams(b)) / len(grams(a) | grams(b)), SequenceMatcher(None, a, b).ratio()
+        assert (r["jaccard"], r["ratio"], r["similarity"]) == (*want, max(want))
+    import pandas as pd
+
+    calls = []
+    whole = SequenceMatcher.ratio
+    SequenceMatcher.ratio = lambda self: calls.append(1) or whole(self)
+    try:
+        out = text.likeness.func(pd.Series(["abcd", "abcd", "same", "ab" * 150]), pd.Series(["abce", "abce", "same", "ab" * 150]))
+    finally:
+        SequenceMatcher.ratio = whole
+    assert len(calls) == 2 and out["ratio"].tolist()[:3] == [0.75, 0.75, 1.0] and out["jaccard"].tolist() == [0.5, 0.5, 1.0, 1.0]
